@@ -50,7 +50,8 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
 
 
 def keep_long_texts(df: DataFrame, min_words: int = 5) -> DataFrame:
-    return df.filter(F.coalesce(word_count("cleaned_text"), F.lit(0)) >= min_words)
+    words = F.col("clean_wc") if "clean_wc" in df.columns else word_count("cleaned_text")
+    return df.filter(words >= min_words)
 
 
 def fence(df: DataFrame, column: str, width: float = 1.5, method: str = "auto") -> Column:
