@@ -4,8 +4,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Keep the first row per key by ascending `order` (nulls first).
+def first_per_key(
+    df: DataFrame, keys: list[str], order: list[str], copies: str | None = None
+) -> DataFrame:
+    """Keep the first row per key by ascending `order` (nulls first); `copies` names a row count.
 
     An aggregate, not a window: copies are combined before the shuffle, so a group of copies
     never meets in one task. Remaining columns break ties, so the result is the same for any
@@ -13,8 +15,10 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[c for c in order if c not in keys], *rest)
-    picked = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return picked.select(*keys, "_first.*").select(*df.columns)
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    picked = df.groupBy(*keys).agg(F.min(packed).alias("_first"), *counted)
+    named = picked.select(*keys, "_first.*", *([copies] if copies else []))
+    return named.select(*df.columns, *([copies] if copies else []))
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:

@@ -16,9 +16,9 @@ def drop_missing(df: DataFrame) -> DataFrame:
     return df.dropna(subset=["text", "sentiment"])
 
 
-def drop_copies(df: DataFrame) -> DataFrame:
+def drop_copies(df: DataFrame, copies: str | None = None) -> DataFrame:
     """One row per exact text: the earliest, then the smallest id."""
-    return first_per_key(df, ["text"], [c for c in ("created_at", "id") if c in df.columns])
+    return first_per_key(df, ["text"], [c for c in ("created_at", "id") if c in df.columns], copies)
 
 
 def add_full_clean(

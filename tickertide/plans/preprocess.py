@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.operators import wrangle as W
@@ -25,36 +25,37 @@ def preprocess(
     Cleaning runs once: its result is written, and the three outlier passes, each on the
     survivors of the one before, read single columns of the written table.
     """
-    seen = {step: Observation() for step in ("input", "missing", "copies", "short")}
-
-    def watched(df: DataFrame, step: str) -> DataFrame:
-        return df.observe(seen[step], F.count(F.lit(1)).alias("rows"))
-
     words = {} if stopwords is None else {"stopwords": stopwords}
-    df = watched(raw, "input")
-    df = watched(W.drop_missing(df), "missing")
-    df = watched(W.drop_copies(df), "copies")
-    df = W.add_derived_columns(W.add_full_clean(df, lemmas, **words))
-    df = watched(W.keep_long_texts(df, min_words), "short")
-    cleaned = materialise(df, "cleaned")
-
-    by_score = W.keep_within_fence(cleaned, "score", method=method)
+    distinct = W.drop_copies(W.drop_missing(raw), copies="_copies")
+    derived = W.add_derived_columns(W.add_full_clean(distinct, lemmas, **words))
+    cleaned = materialise(derived, "cleaned")
+
+    long_enough = W.keep_long_texts(cleaned, min_words)
+    by_score = W.keep_within_fence(long_enough, "score", method=method)
     by_comments = W.keep_within_fence(by_score, "num_comments", method=method)
     kept = W.keep_within_deviation(by_comments, "text_length", 3.0, on_constant)
 
-    rows = [("input", None, seen["input"].get["rows"])]
-    for step in ("missing", "copies", "short"):
-        rows.append((step, rows[-1][2], seen[step].get["rows"]))
-    spark = raw.sparkSession
-    counted = spark.createDataFrame(rows[1:], "step string, rows_in long, rows_out long")
-    outliers = [
-        ("score_fence", cleaned, by_score), ("comment_fence", by_score, by_comments),
-        ("length_deviation", by_comments, kept),
+    survivors = [
+        ("missing", cleaned.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("n"))),
+        ("copies", _rows(cleaned)),
+        ("short", _rows(long_enough)),
+        ("score_fence", _rows(by_score)),
+        ("comment_fence", _rows(by_comments)),
+        ("length_deviation", _rows(kept)),
+    ]
+    return Processed(W.encode_sentiment(kept.drop("_copies")), _accounting(_rows(raw), survivors))
+
+
+def _rows(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n"))
+
+
+def _accounting(first: DataFrame, survivors: list[tuple[str, DataFrame]]) -> DataFrame:
+    """(step, rows_in, rows_out), counted on the written table: right also after lost executors."""
+    counts = first.select("n", *[table.scalar().alias(step) for step, table in survivors])
+    names = ["n", *[step for step, _ in survivors]]
+    rows = [
+        F.struct(F.lit(step).alias("step"), F.col(before).alias("rows_in"), F.col(step).alias("rows_out"))
+        for before, step in zip(names, names[1:])
     ]
-    for step, before, after in outliers:
-        counted = counted.unionByName(
-            after.agg(F.count(F.lit(1)).alias("rows_out")).select(
-                F.lit(step).alias("step"), before.agg(F.count(F.lit(1)).alias("n")).scalar().alias("rows_in"), "rows_out"
-            )
-        )
-    return Processed(W.encode_sentiment(kept), counted)
+    return counts.select(F.inline(F.array(*rows)))
