@@ -40,8 +40,7 @@ def page_tags(spark, folder):
 
 @check("text_tokens", with_views(f"SELECT id, array_to_string({tokens(clean('text'))}, '|') AS out FROM noisy", "noisy"))
 def token_lists(spark, folder):
-    found = T.with_clean_tokens(V.noisy_posts(spark, folder), "text", "tokens")
-    return found.select("id", F.array_join("tokens", "|").alias("out"))
+    return V.noisy_posts(spark, folder).select("id", F.array_join(T.clean_tokens("text"), "|").alias("out"))
 
 
 @check(
@@ -52,8 +51,7 @@ def token_lists(spark, folder):
     ),
 )
 def without_stopwords(spark, folder):
-    found = T.with_clean_tokens(V.noisy_posts(spark, folder), "text", "tokens")
-    return found.select("id", T.join_tokens(T.drop_stopwords("tokens")).alias("out"))
+    return V.noisy_posts(spark, folder).select("id", T.join_tokens(T.drop_stopwords(T.clean_tokens("text"))).alias("out"))
 
 
 _LEMMATISED = with_views(
@@ -70,9 +68,8 @@ def lemmatised(spark, folder):
 @check("text_lemmatise_by_join", _LEMMATISED)
 def lemmatised_by_join(spark, folder):
     """The path for a lemma table beyond the lookup size."""
-    found = T.with_clean_tokens(_labelled(spark, folder), "text", "tokens")
-    found = found.withColumn("tokens", T.drop_stopwords("tokens"))
-    found = lemmatise(found, V.lemmas(spark), max_rows=1)
+    tokens = T.drop_stopwords(T.clean_tokens("text"))
+    found = lemmatise(_labelled(spark, folder), tokens, V.lemmas(spark), "tokens", max_rows=1)
     return found.select("id", T.join_tokens("tokens").alias("out")).filter("out <> ''")
 
 
@@ -89,8 +86,7 @@ def full_clean(spark, folder):
     ),
 )
 def without_noise(spark, folder):
-    found = T.with_clean_tokens(V.noisy_posts(spark, folder), "text", "tokens")
-    return found.select("id", T.join_tokens(T.drop_noise("tokens")).alias("out"))
+    return V.noisy_posts(spark, folder).select("id", T.join_tokens(T.drop_noise(T.clean_tokens("text"))).alias("out"))
 
 
 @check(
@@ -108,8 +104,8 @@ WHERE lemma IN (SELECT token FROM vocab) GROUP BY token""".replace(
     ),
 )
 def lemma_rules(spark, folder):
-    found = T.with_clean_tokens(V.posts(spark, folder), "text", "tokens")
-    return plural_lemmas(found.select(F.explode("tokens").alias("token")).distinct())
+    tokens = V.posts(spark, folder).select(F.explode(T.clean_tokens("text")).alias("token"))
+    return plural_lemmas(tokens.distinct())
 
 
 def _labelled(spark, folder):

@@ -7,7 +7,7 @@ import unicodedata
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tickertide.functions.wordlists import NOISE_WORDS, SPLIT_CONTRACTIONS, STOPWORDS
@@ -28,6 +28,15 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body) -> Column:
+    """body(value) with `value` evaluated once, however often and wherever body uses it.
+
+    A column used inside a lambda is not safe for that: when the optimizer pushes a filter below
+    the projection, its expression is copied into the lambda and evaluated per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _contains_any(c: Column, parts: list[str]) -> Column:
     """Plain substring tests, far cheaper than a regular expression that rarely matches."""
     return reduce(or_, [c.contains(part) for part in parts])
@@ -97,14 +106,13 @@ def tokenize(c) -> Column:
     return F.filter(F.split(split_contractions(F.coalesce(_col(c), F.lit(""))), " "), lambda w: w != "")
 
 
-def with_clean_tokens(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add the tokens of clean_text(text), without building the cleaned string in between.
+def clean_tokens(c) -> Column:
+    """Tokens of clean_text(c), without building the cleaned string in between."""
 
-    Two projections, because a value used several times is computed once only as a column.
-    """
-    df = df.withColumn("_lower", F.lower(remove_markup(F.coalesce(F.col(text), F.lit("")))))
-    tokens = F.split(split_contractions("_lower"), "[^a-z0-9]+")
-    return df.withColumn(out, F.filter(tokens, lambda w: w != "")).drop("_lower")
+    def tokens(lower):
+        return F.filter(F.split(split_contractions(lower), "[^a-z0-9]+"), lambda w: w != "")
+
+    return let(F.lower(remove_markup(F.coalesce(_col(c), F.lit("")))), tokens)
 
 
 def drop_stopwords(tokens, stopwords=STOPWORDS, min_length=3) -> Column:
@@ -122,17 +130,23 @@ def join_tokens(tokens) -> Column:
     return F.array_join(_col(tokens), " ")
 
 
-def ngrams(tokens, n: int) -> Column:
-    tokens = _col(tokens)
+def _ngrams(words: Column, n: int) -> Column:
     if n == 1:
-        return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+        return words
+    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
+def ngram_range(words, low: int, high: int) -> Column:
+    """All n-grams from `low` to `high` words, with repetitions."""
+    return let(
+        _col(words), lambda w: F.flatten(F.array(*[_ngrams(w, n) for n in range(low, high + 1)]))
+    )
 
 
-def ngram_range(tokens, low: int, high: int) -> Column:
-    return F.flatten(F.array(*[ngrams(tokens, n) for n in range(low, high + 1)]))
+def ngrams(words, n: int) -> Column:
+    return ngram_range(words, n, n)
 
 
 def _accent_table() -> tuple[str, str]:

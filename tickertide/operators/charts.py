@@ -165,8 +165,8 @@ def top_ngrams(df: DataFrame, n: int = 1, k: int = 15, min_texts: int = 5) -> Da
     """Most frequent n-grams per sentiment; classes with fewer than min_texts texts are skipped."""
     texts = _labelled(df).filter(F.col("cleaned_text").isNotNull())
     sizes = texts.groupBy("sentiment").agg(F.count(F.lit(1)).alias("_texts"))
-    grams = texts.withColumn("_words", feature_words("cleaned_text"))
-    counted = grams.select("sentiment", F.explode(ngrams("_words", n)).alias("term")).groupBy(
+    terms = ngrams(feature_words("cleaned_text"), n)
+    counted = texts.select("sentiment", F.explode(terms).alias("term")).groupBy(
         "sentiment", "term"
     ).agg(F.count(F.lit(1)).alias("n"))
     top = top_per_key(counted, ["sentiment"], [F.desc("n"), F.col("term")], k)

@@ -5,7 +5,7 @@ from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSize
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickertide.functions.text import feature_words, is_blank, ngram_range
+from tickertide.functions.text import feature_words, is_blank, let, ngram_range
 from tickertide.functions.vectors import sparse_vector, vector_parts
 from tickertide.operators.keyed import top_per_key
 from tickertide.operators.ordered import hash_of, hash_order_cuts
@@ -49,16 +49,14 @@ def stratified_folds(
     return placed.withColumn("fold", fold).drop("_hash", "cuts")
 
 
-def add_terms(df: DataFrame, text: str = "cleaned_text", out: str = "terms", low: int = 1, high: int = 2) -> DataFrame:
-    """Words and word pairs of each document, with repetitions."""
-    # two projections: the words are used by every n-gram length
-    worded = df.withColumn("_words", feature_words(text))
-    return worded.withColumn(out, ngram_range("_words", low, high)).drop("_words")
+def document_terms(text: str = "cleaned_text", low: int = 1, high: int = 2) -> Column:
+    """Words and word pairs of a document, with repetitions."""
+    return ngram_range(feature_words(text), low, high)
 
 
 def term_counts(df: DataFrame, id_column: str = "id", text: str = "cleaned_text") -> DataFrame:
     """Term frequency per document."""
-    terms = add_terms(df, text).select(id_column, F.explode("terms").alias("term"))
+    terms = df.select(id_column, F.explode(document_terms(text)).alias("term"))
     return terms.groupBy(id_column, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -72,14 +70,12 @@ def fit_vocabulary(
     document mark, combined in each task. Ties go to the smaller term, idx is alphabetical.
     """
     documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    marked = add_terms(df, text).select(
-        F.explode(
-            F.concat(
-                F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-                F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))),
-            )
-        ).alias("m")
-    ).select("m.*")
+
+    def marks(terms, tf: int, df: int):
+        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
+
+    both = let(document_terms(text), lambda t: F.concat(marks(t, 1, 0), marks(F.array_distinct(t), 0, 1)))
+    marked = df.select(F.inline(both))
     counted = marked.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     counted = counted.withColumn("_n", documents)
     usable = counted.filter((F.col("df") >= min_docs) & (F.col("df") <= max_doc_share * F.col("_n")))
@@ -116,17 +112,20 @@ class TermWeights:
     def add_weights(self, df: DataFrame, text: str = "cleaned_text") -> DataFrame:
         """Add _at ARRAY<INT> (ascending) and _weights ARRAY<DOUBLE>; unseen terms are dropped."""
         counter = CountVectorizerModel.from_vocabulary(self.terms or ["\u0000"], inputCol="_terms", outputCol="_tf")
-        counted = counter.transform(add_terms(df, text, "_terms")).drop("_terms")
-        counted = counted.withColumn("_tf", vector_parts("_tf"))
+        counted = counter.transform(df.withColumn("_terms", document_terms(text))).drop("_terms")
         # a constant array, parsed once
         idf = F.from_json(F.lit(str(self.idf or [0.0])), "array<double>")
-        raw = F.zip_with(
-            F.col("_tf")["indices"], F.col("_tf")["values"], lambda i, tf: (F.log(tf) + 1) * F.get(idf, i)
-        )
-        weighted = counted.withColumn("_at", F.col("_tf")["indices"]).withColumn("_raw", raw).drop("_tf")
-        squares = F.aggregate("_raw", F.lit(0.0), lambda total, w: total + w * w)
-        weighted = weighted.withColumn("_norm", F.sqrt(squares))
-        return weighted.withColumn("_weights", F.transform("_raw", lambda w: w / F.col("_norm"))).drop("_raw", "_norm")
+
+        def weigh(tf):
+            raw = F.zip_with(tf["indices"], tf["values"], lambda i, n: (F.log(n) + 1) * F.get(idf, i))
+            return let(raw, scale)
+
+        def scale(raw):
+            squares = F.aggregate(raw, F.lit(0.0), lambda total, w: total + w * w)
+            return let(F.sqrt(squares), lambda norm: F.transform(raw, lambda w: w / norm))
+
+        stored = vector_parts("_tf")
+        return counted.withColumns({"_at": stored["indices"], "_weights": let(stored, weigh)}).drop("_tf")
 
     def add_vector(self, df: DataFrame, text: str = "cleaned_text", out: str = "tfidf") -> DataFrame:
         weighted = self.add_weights(df, text)

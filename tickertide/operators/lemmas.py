@@ -1,9 +1,11 @@
 """Lemmas from a (token, lemma) table, and a rule that builds one from the corpus vocabulary."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickertide.operators.lookup import attach_lookup
+from tickertide.functions.text import let
+from tickertide.operators.lookup import join_lookup, lookup_in_row
+from tickertide.settings import LOOKUP_ROWS
 
 # Noun endings and what replaces them, tried in this order.
 NOUN_ENDINGS = [
@@ -34,8 +36,16 @@ def plural_lemmas(vocabulary: DataFrame, word: str = "token") -> DataFrame:
     return best.select("token", F.col("b.lemma").alias("lemma"))
 
 
-def lemmatise(df: DataFrame, lemmas: DataFrame, id_column: str = "id", tokens: str = "tokens", **options) -> DataFrame:
-    """Replace each token by its lemma; tokens without one pass through."""
-    looked = attach_lookup(df, id_column, tokens, lemmas, "token", "lemma", "_lemmas", **options)
-    merged = F.zip_with(tokens, "_lemmas", lambda token, lemma: F.coalesce(lemma, token))
-    return looked.withColumn(tokens, merged).drop("_lemmas")
+def _replaced(tokens, lemmas) -> Column:
+    return F.zip_with(tokens, lemmas, lambda token, lemma: F.coalesce(lemma, token))
+
+
+def lemmatise(
+    df: DataFrame, tokens: Column, lemmas: DataFrame, out: str, id_column: str = "id", max_rows: int = LOOKUP_ROWS
+) -> DataFrame:
+    """Add `out`: the tokens with each replaced by its lemma; tokens without one pass through."""
+    in_row = lookup_in_row(lemmas, "token", "lemma", max_rows)
+    if in_row is not None:
+        return df.withColumn(out, let(tokens, lambda t: _replaced(t, in_row(t))))
+    joined = join_lookup(df, id_column, tokens, lemmas, "token", "lemma", "_lemmas")
+    return joined.withColumn(out, _replaced(tokens, F.col("_lemmas"))).drop("_lemmas")

@@ -7,10 +7,10 @@ higher-order functions over positions, so no token is shuffled.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickertide.functions.text import _col, is_blank, split_words
+from tickertide.functions.text import _col, is_blank, let, split_words
 from tickertide.functions.wordlists import BOOST_DOWN, BOOST_UP, NEGATIONS, SEED_LEXICON
-from tickertide.operators.lookup import attach_lookup
-from tickertide.settings import NEGATIVE_TO, POSITIVE_FROM
+from tickertide.operators.lookup import join_lookup, lookup_in_row
+from tickertide.settings import LOOKUP_ROWS, NEGATIVE_TO, POSITIVE_FROM
 
 # Fixed values of the published rules.
 BOOST = 0.293
@@ -102,45 +102,57 @@ def _position_score(words: Column, lowers: Column, valences: Column, mixed: Colu
     return F.when(_boost(own_lower) != 0, 0.0).otherwise(scored)
 
 
+def _rule_sum(words: Column, lowers: Column, valences: Column) -> Column:
+    """Sum of the adjusted valences; "but" weakens what precedes it and strengthens the rest."""
+    pairs = F.arrays_zip(words.alias("word"), lowers.alias("lower"))
+    some_capital = F.exists(pairs, lambda p: _is_capital(p["word"], p["lower"]))
+    some_other = F.exists(pairs, lambda p: ~_is_capital(p["word"], p["lower"]))
+    facts = F.struct(
+        (some_capital & some_other).alias("mixed"),
+        (F.array_position(lowers, "but").cast("int") - 1).alias("but"),
+    )
+    positions = F.filter(
+        F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda i: F.get(valences, i).isNotNull(),
+    )
+
+    def total(fact):
+        but = fact["but"]
+
+        def add(so_far, i):
+            weight = (
+                F.when((but >= 0) & (i < but), BUT_BEFORE)
+                .when((but >= 0) & (i > but), BUT_AFTER)
+                .otherwise(1.0)
+            )
+            return so_far + weight * _position_score(words, lowers, valences, fact["mixed"], i)
+
+        return F.aggregate(positions, F.lit(0.0), add)
+
+    return let(facts, total)
+
+
 def score_sentiment(
-    df: DataFrame, lexicon: DataFrame, id_column: str = "id", text: str = "text", rules: bool = True
+    df: DataFrame, lexicon: DataFrame, id_column: str = "id", text: str = "text", rules: bool = True,
+    max_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """Add vader_compound (4 decimals) and sentiment; blank text is neutral with score 0.
 
     `lexicon` is any (term, valence) table. rules=False sums the valences only.
     """
-    base = df.withColumn("_words", sentiment_words(text))
-    base = base.withColumn("_lower", F.transform("_words", F.lower))
-    base = attach_lookup(base, id_column, "_lower", lexicon, "term", "valence", "_valences")
+    words = sentiment_words(text)
+    find = lookup_in_row(lexicon, "term", "valence", max_rows)
+    if find is None:
+        df = join_lookup(df, id_column, F.transform(words, F.lower), lexicon, "term", "valence", "_valences")
+        find = lambda _: F.col("_valences")
+
+    def total(w, lowers):
+        return let(find(lowers), lambda v: _rule_sum(w, lowers, v) if rules else plain_valence_sum(v))
+
+    found = let(words, lambda w: let(F.transform(w, F.lower), lambda lowers: total(w, lowers)))
     if rules:
-        words, lowers, valences = F.col("_words"), F.col("_lower"), F.col("_valences")
-        pairs = F.arrays_zip("_words", "_lower")
-        some_capital = F.exists(pairs, lambda p: _is_capital(p["_words"], p["_lower"]))
-        some_other = F.exists(pairs, lambda p: ~_is_capital(p["_words"], p["_lower"]))
-        base = base.withColumn("_mixed", some_capital & some_other)
-        base = base.withColumn("_but", F.array_position("_lower", "but").cast("int") - 1)
-        positions = F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size("_words") - 1, F.lit(0))),
-            lambda i: F.get(valences, i).isNotNull(),
-        )
-        but = F.col("_but")
-
-        def add(total, i):
-            weight = (
-                F.when((but >= 0) & (i < but), BUT_BEFORE)
-                .when((but >= 0) & (i > but), BUT_AFTER)
-                .otherwise(1.0)
-            )
-            return total + weight * _position_score(words, lowers, valences, F.col("_mixed"), i)
-
-        base = base.withColumn("_sum", F.aggregate(positions, F.lit(0.0), add))
-        emphasis = punctuation_emphasis(text)
-        base = base.withColumn("_sum", F.col("_sum") + F.signum("_sum") * emphasis)
-        base = base.drop("_mixed", "_but")
-    else:
-        base = base.withColumn("_sum", plain_valence_sum("_valences"))
+        found = let(found, lambda x: x + F.signum(x) * punctuation_emphasis(text))
     # the analyzer rounds its score, and the label is taken from what it returns
-    compound = F.when(is_blank(text), 0.0).otherwise(F.round(compound_score("_sum"), 4))
-    scored = base.withColumn("vader_compound", compound)
-    scored = scored.withColumn("sentiment", label_of("vader_compound"))
-    return scored.drop("_words", "_lower", "_valences", "_sum")
+    compound = F.when(is_blank(text), 0.0).otherwise(F.round(let(found, compound_score), 4))
+    scored = df.withColumn("vader_compound", compound).drop("_valences")
+    return scored.withColumn("sentiment", label_of("vader_compound"))

@@ -33,25 +33,29 @@ def hashed_dictionary(table: DataFrame, key: str, value: str, slots: int) -> Col
     return F.from_json(F.lit(json.dumps(entries)), f"array<map<{kinds[0]},{kinds[1]}>>")
 
 
-def attach_lookup(
-    df: DataFrame, id_column: str, tokens: str, table: DataFrame, key: str, value: str, out: str,
-    max_rows: int = LOOKUP_ROWS,
-) -> DataFrame:
-    """Add `out`: for each token of the array `tokens` the table's value, null where there is none.
+def lookup_in_row(table: DataFrame, key: str, value: str, max_rows: int = LOOKUP_ROWS):
+    """A function from an array of tokens to the array of their values (null where there is none).
 
-    A table that passes the size check is looked up inside each row, without a shuffle. A larger
-    one is joined token by token, with hot tokens split off; `id_column` is unique per row.
+    Only for a table that passes the size check; otherwise None, and join_lookup does the work.
     """
     rows = rows_within(table, max_rows)
-    if rows is not None:
-        # n entries in n slots or more: about one entry to scan per lookup
-        slots = 1 << max(4, rows.bit_length())
-        dictionary = hashed_dictionary(table, key, value, slots)
-        return df.withColumn(
-            out,
-            F.transform(tokens, lambda t: F.element_at(F.get(dictionary, _slot(t, slots)), t)),
-        )
+    if rows is None:
+        return None
+    # n entries in n slots or more: about one entry to scan per lookup
+    slots = 1 << max(4, rows.bit_length())
+    dictionary = hashed_dictionary(table, key, value, slots)
+    return lambda tokens: F.transform(
+        tokens, lambda t: F.element_at(F.get(dictionary, _slot(t, slots)), t)
+    )
+
 
+def join_lookup(
+    df: DataFrame, id_column: str, tokens: Column, table: DataFrame, key: str, value: str, out: str
+) -> DataFrame:
+    """Add the values of the tokens as column `out` by a join, for a table of any size.
+
+    Hot tokens are split off; `id_column` is unique per row.
+    """
     kind = table.schema[value].dataType.simpleString()
     unique = _unique_keys(table, key, value).withColumnRenamed(value, "_value")
     pairs = df.select(id_column, F.posexplode(tokens).alias("_at", key))

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.functions.text import (
-    drop_noise, drop_stopwords, join_tokens, with_clean_tokens, word_count,
+    clean_tokens, drop_noise, drop_stopwords, join_tokens, word_count,
 )
 from tickertide.operators.keyed import first_per_key
 from tickertide.operators.lemmas import lemmatise
@@ -26,12 +26,12 @@ def add_full_clean(
     id_column: str = "id", out: str = "cleaned_text", **word_lists,
 ) -> DataFrame:
     """Clean, drop stopwords, lemmatise, drop noise words, rejoin."""
-    cleaned = with_clean_tokens(df, text, "_tokens")
-    cleaned = cleaned.withColumn("_tokens", drop_stopwords("_tokens", **word_lists))
+    tokens = drop_stopwords(clean_tokens(text), **word_lists)
     if lemmas is not None:
-        cleaned = lemmatise(cleaned, lemmas, id_column, "_tokens")
-    tokens = drop_noise("_tokens") if noise else F.col("_tokens")
-    return cleaned.withColumn(out, join_tokens(tokens)).drop("_tokens")
+        df = lemmatise(df, tokens, lemmas, "_tokens", id_column)
+        tokens = F.col("_tokens")
+    kept = drop_noise(tokens) if noise else tokens
+    return df.withColumn(out, join_tokens(kept)).drop("_tokens")
 
 
 def add_derived_columns(df: DataFrame) -> DataFrame:
