@@ -121,9 +121,9 @@ def top_terms(spark, folder):
     with_views(
         """
 SELECT sentiment, term, round(m, 6) AS mean_weight FROM (
-  SELECT sentiment, term, sum(weight) / n AS m, row_number() OVER (PARTITION BY sentiment ORDER BY sum(weight) / n DESC, term) AS rn
-  FROM weights JOIN split USING (id) JOIN (SELECT sentiment, count(*) AS n FROM split GROUP BY sentiment) USING (sentiment)
-  GROUP BY sentiment, term, n) WHERE rn <= 15""", "weights",
+  SELECT sentiment, term, sum(weight) / docs AS m, row_number() OVER (PARTITION BY sentiment ORDER BY sum(weight) / docs DESC, term) AS rn
+  FROM weights JOIN split USING (id) JOIN (SELECT sentiment, count(*) AS docs FROM split GROUP BY sentiment) USING (sentiment)
+  GROUP BY sentiment, term, docs) WHERE rn <= 15""", "weights",
     ),
 )
 def top_terms_by_sentiment(spark, folder):
