@@ -21,8 +21,10 @@ from tickertide.sources import sample_views as V
 from tickertide.sources.handover import materialise, new_path
 
 
+@lru_cache(maxsize=4)
 def usable(spark, folder):
-    return W.encode_sentiment(X.drop_blank_texts(derived(spark, folder)))
+    """The written processed table, as the feature job reads it."""
+    return materialise(W.encode_sentiment(X.drop_blank_texts(derived(spark, folder))), "processed")
 
 
 @check("feature_drop_blank", with_views("SELECT id FROM derived WHERE length(trim(cleaned_text)) > 0", "derived"))
@@ -149,7 +151,7 @@ def likelihoods(spark, folder):
 
 @lru_cache(maxsize=4)
 def _tables(spark, folder):
-    return build_features(materialise(W.encode_sentiment(derived(spark, folder)), "processed"), max_terms=1000)
+    return build_features(usable(spark, folder), max_terms=1000)
 
 
 # a smaller forest, so that the check of all models stays short

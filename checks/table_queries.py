@@ -1,5 +1,7 @@
 """Checks of wrangling, statistics and chart data."""
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from checks.registry import check, rounded, time_text, times_as_text
@@ -9,6 +11,7 @@ from tickertide.operators import stats as S
 from tickertide.operators import wrangle as W
 from tickertide.plans.preprocess import preprocess
 from tickertide.sources import sample_views as V
+from tickertide.sources.handover import materialise
 
 SENTIMENTS = "(VALUES (0, 'positive'), (1, 'neutral'), (2, 'negative')) o(position, sentiment)"
 
@@ -17,10 +20,16 @@ def labelled(spark, folder):
     return W.drop_copies(W.drop_missing(V.posts(spark, folder)))
 
 
-def derived(spark, folder):
+def derive(spark, folder):
     return W.add_derived_columns(W.add_full_clean(labelled(spark, folder), V.lemmas(spark)))
 
 
+@lru_cache(maxsize=4)
+def derived(spark, folder):
+    """Texts are cleaned once; statistics, charts and features read the written table."""
+    return materialise(derive(spark, folder), "derived")
+
+
 @check("wrangle_drop_missing", with_views("SELECT id, sentiment FROM posts WHERE text IS NOT NULL AND sentiment IS NOT NULL", "posts"))
 def drop_missing(spark, folder):
     return W.drop_missing(V.posts(spark, folder)).select("id", "sentiment")
@@ -38,7 +47,7 @@ def drop_copies(spark, folder):
     ),
 )
 def derived_columns(spark, folder):
-    return derived(spark, folder).select(
+    return derive(spark, folder).select(
         "id", "text_length", "word_count", "clean_length", "clean_wc", "engagement", "hour_of_day", "day_of_week"
     )
 

@@ -133,8 +133,8 @@ def join_tokens(tokens) -> Column:
 def _ngrams(words: Column, n: int) -> Column:
     if n == 1:
         return words
-    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    starts = F.sequence(F.lit(0), F.size(words) - n)
+    grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(n)]))
     return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
@@ -173,5 +173,11 @@ def strip_accents(c) -> Column:
 
 def feature_words(c) -> Column:
     """Words of at least two word characters, lower case, without accents."""
-    text = strip_accents(F.lower(F.coalesce(_col(c), F.lit(""))))
-    return F.regexp_extract_all(text, F.lit(WORD), 0)
+
+    def words(text):
+        found = F.regexp_extract_all(strip_accents(F.lower(text)), F.lit(WORD), 0)
+        # text that is clean already needs no pattern per word
+        split = F.filter(F.split(text, " "), lambda w: F.length(w) >= 2)
+        return F.when(text.rlike("[^a-z0-9 ]"), found).otherwise(split)
+
+    return let(F.coalesce(_col(c), F.lit("")), words)

@@ -66,17 +66,22 @@ def fit_vocabulary(
 ) -> DataFrame:
     """(term, idx, tf, df, idf): document frequency in range, then the most frequent max_terms.
 
-    One shuffle by term: every document sends its occurrences and, once per distinct term, a
-    document mark, combined in each task. Ties go to the smaller term, idx is alphabetical.
+    One shuffle by term: every document sends its occurrences, the first of each term flagged,
+    combined in each task. Ties go to the smaller term, idx is alphabetical.
     """
     documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()
 
-    def marks(terms, tf: int, df: int):
-        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
-
-    both = let(document_terms(text), lambda t: F.concat(marks(t, 1, 0), marks(F.array_distinct(t), 0, 1)))
-    marked = df.select(F.inline(both))
-    counted = marked.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    def marks(terms):
+        """Each occurrence, flagged where the term is new in its document."""
+        return F.transform(
+            terms,
+            lambda t, i: F.struct(
+                t.alias("term"), F.when((i == 0) | (F.get(terms, i - 1) != t), 1).otherwise(0).alias("new")
+            ),
+        )
+
+    marked = df.select(F.inline(let(F.sort_array(document_terms(text)), marks)))
+    counted = marked.groupBy("term").agg(F.count(F.lit(1)).alias("tf"), F.sum("new").alias("df"))
     counted = counted.withColumn("_n", documents)
     usable = counted.filter((F.col("df") >= min_docs) & (F.col("df") <= max_doc_share * F.col("_n")))
     kept = usable.orderBy(F.desc("tf"), "term").limit(max_terms)

@@ -4,10 +4,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RANGES = 64
+from tickertide.functions.text import let
+
+STEP = 8
+RANGES = STEP * STEP
 HASH_DIGITS = 3
 
 
+def _cuts(order: str, sums: list[str]) -> Column:
+    """RANGES - 1 ascending cuts, and every STEP-th of them.
+
+    The totals make this read the same columns as the running sums, so that Spark shuffles the
+    input once and reuses it.
+    """
+    shares = [i / RANGES for i in range(1, RANGES)]
+    cuts = F.percentile_approx(order, shares, 10 * RANGES)
+    every = F.transform(F.sequence(F.lit(1), F.lit(STEP - 1)), lambda k: F.get(cuts, k * STEP - 1))
+    totals = F.array(*[F.sum(s) for s in sums])
+    return F.struct(cuts.alias("all"), every.alias("every"), totals.alias("totals"))
+
+
+def _cuts_below(cuts: Column, value: Column) -> Column:
+    """How many of the cuts are below the value: whole steps first, then inside one step."""
+
+    def below(part):
+        return F.size(F.filter(part, lambda c: c < value))
+
+    def inside(k):
+        return k * STEP + below(F.slice(cuts["all"], k * STEP + 1, F.lit(STEP)))
+
+    # never null, so that no null test is pushed down to the single rows
+    return F.coalesce(let(below(cuts["every"]), inside), F.lit(0))
+
+
 def running_sums(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
     """Add running_<s> (inclusive, ascending `order`) to a table with one row per (keys, order).
 
@@ -15,15 +44,13 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: list[str]) ->
     so a task only sums within one range. The approximate cuts set the balance, not the result.
     Groups must be few (classes, models); without keys there is one group.
     """
-    shares = [i / RANGES for i in range(1, RANGES)]
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(order, shares, 10 * RANGES).alias("_cuts"))
+    cuts = df.groupBy(*keys).agg(_cuts(order, sums).alias("_cuts"))
     if keys:
         # RANGES numbers for each of few groups
         ranged = df.join(F.broadcast(cuts), keys)
     else:
         ranged = df.withColumn("_cuts", cuts.scalar())
-    below = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-    ranged = ranged.withColumn("_range", below).drop("_cuts")
+    ranged = ranged.withColumn("_range", _cuts_below(F.col("_cuts"), F.col(order))).drop("_cuts")
 
     range_keys = [*keys, "_range"]
     totals = ranged.groupBy(*range_keys).agg(*[F.sum(s).alias(f"_total_{s}") for s in sums])

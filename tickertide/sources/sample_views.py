@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickertide.settings import MODEL_NAMES
+from tickertide.sources.handover import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +20,8 @@ def _sentiment():
 def posts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as posts; score, comments, time and author from an event, sentiment from labels."""
     documents, events, labels = (table(spark, folder, t) for t in ("documents", "events", "labels"))
+    # the text work that follows should use every core
+    documents = spread(documents, "doc_id")
     joined = documents.join(
         events.withColumnRenamed("ts", "created_at"), F.col("event_id") == 5 * F.col("doc_id"), "left"
     ).join(labels, "doc_id", "left")
