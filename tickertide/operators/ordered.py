@@ -5,12 +5,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickertide.functions.text import let
+from tickertide.operators.keyed import few
 
 STEP = 8
 RANGES = STEP * STEP
 HASH_DIGITS = 3
 
 
+def _as_is(table: DataFrame) -> DataFrame:
+    return table
+
+
 def _cuts(order: str, sums: list[str]) -> Column:
     """RANGES - 1 ascending cuts, and every STEP-th of them.
 
@@ -37,17 +42,19 @@ def _cuts_below(cuts: Column, value: Column) -> Column:
     return F.coalesce(let(below(cuts["every"]), inside), F.lit(0))
 
 
-def running_sums(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
+def running_sums(
+    df: DataFrame, keys: list[str], order: str, sums: list[str], many_groups: bool = False
+) -> DataFrame:
     """Add running_<s> (inclusive, ascending `order`) to a table with one row per (keys, order).
 
     Each group is cut into ranges of `order`; totals per range give the start value of a range,
     so a task only sums within one range. The approximate cuts set the balance, not the result.
-    Groups must be few (classes, models); without keys there is one group.
+    Without keys there is one group. For more groups than fit a broadcast pass many_groups=True.
     """
+    small = _as_is if many_groups else few
     cuts = df.groupBy(*keys).agg(_cuts(order, sums).alias("_cuts"))
     if keys:
-        # RANGES numbers for each of few groups
-        ranged = df.join(F.broadcast(cuts), keys)
+        ranged = df.join(small(cuts), keys)
     else:
         ranged = df.withColumn("_cuts", cuts.scalar())
     ranged = ranged.withColumn("_range", _cuts_below(F.col("_cuts"), F.col(order))).drop("_cuts")
@@ -61,7 +68,7 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: list[str]) ->
         *[F.coalesce(F.sum(f"_total_{s}").over(earlier), F.lit(0)).alias(f"_start_{s}") for s in sums],
     )
     within = Window.partitionBy(*range_keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.join(F.broadcast(starts), range_keys)
+    joined = ranged.join(small(starts), range_keys)
     return joined.select(
         *df.columns,
         *[(F.sum(s).over(within) + F.col(f"_start_{s}")).alias(f"running_{s}") for s in sums],
@@ -73,7 +80,7 @@ def _is_integral(df: DataFrame, column: str) -> bool:
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, shares: list[float], keys: list[str] | None = None
+    df: DataFrame, column: str, shares: list[float], keys: list[str] | None = None, many_groups: bool = False
 ) -> DataFrame:
     """Linear-interpolated quantiles as (keys, quantiles ARRAY<DOUBLE>), for any number of values.
 
@@ -83,10 +90,10 @@ def exact_quantiles(
     keys = keys or []
     values = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
     counted = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_sums(counted, keys, "_v", ["_n"])
+    ranked = running_sums(counted, keys, "_v", ["_n"], many_groups)
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
-        ranked = ranked.join(F.broadcast(totals), keys)  # one row for each of few groups
+        ranked = ranked.join(totals if many_groups else few(totals), keys)
     else:
         ranked = ranked.withColumn("_total", totals.scalar())
 
@@ -137,9 +144,9 @@ def hash_of(id_column: str, seed: int) -> Column:
 
 
 def hash_order_cuts(
-    df: DataFrame, key: str, id_column: str, seed: int, shares: list[float]
+    df: DataFrame, key: str, id_column: str, seed: int, shares: list[float], many_groups: bool = False
 ) -> DataFrame:
-    """Per key (few keys), the hashed id at rank round(share * rows), as (key, cuts ARRAY<STRING>).
+    """Per key, the hashed id at rank round(share * rows), as (key, cuts ARRAY<STRING>).
 
     A cut is null where the rank is 0. Counts per hash prefix find the prefix of each rank, so
     only rows of those prefixes are ordered.
@@ -165,8 +172,7 @@ def hash_order_cuts(
             F.struct(F.col("_r.cut").alias("cut"), (F.col("_r.rank") - F.col("_upto") + F.col("_n")).alias("rank"))
         ).alias("_wanted")
     )
-    # one row per (key, cut): few keys, few cuts
-    near = hashed.join(F.broadcast(wanted), [key, "_prefix"])
+    near = hashed.join(wanted if many_groups else few(wanted), [key, "_prefix"])
     order = Window.partitionBy(key, "_prefix").orderBy("_hash")
     near = near.withColumn("_rank", F.row_number().over(order))
     hits = near.select(key, "_hash", "_rank", F.explode("_wanted").alias("_w"))

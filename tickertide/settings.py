@@ -36,3 +36,6 @@ REPORT_PLOTS = [
 
 # A lookup table up to this many rows is sent to every task; a larger one is joined instead.
 LOOKUP_ROWS = 20_000
+
+# Tables with a row per group (class, model, label) are broadcast up to this many rows.
+GROUP_ROWS = 100_000

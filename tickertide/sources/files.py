@@ -35,7 +35,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def count_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the raw table; only the id column is read."""
+    """Rows of the raw table, from the row counts of its files: no column is read."""
     return read_raw(spark, path).select("id").agg(F.count(F.lit(1)).alias("n"))
 
 
