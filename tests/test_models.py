@@ -102,7 +102,7 @@ def test_train_tune_store_and_score(spark, tables, tmp_path):
     search = tuned.searches["naive_bayes"].collect()
     assert len(search) == 2 and sum(r["is_best"] for r in search) == 1
     assert {(r["name"], r["kind"]) for r in M.choose_models(M.registry(spark, folder)).collect()} == {
-        ("logistic_regression", "tuned"), ("naive_bayes", "tuned"), ("random_forest", "base"),
+        ("best", "best"), ("logistic_regression", "tuned"), ("naive_bayes", "tuned"), ("random_forest", "base"),
     }
     with pytest.raises(FileNotFoundError):
         M.load_model(spark, folder, "random_forest", "tuned")

@@ -7,7 +7,10 @@ from pyspark.sql import types as T
 from tickertide.schemas import COMMENT_JSON, RAW_POST, SUBMISSION_JSON
 
 # CSV cells read as missing.
-MISSING_CELLS = ["", "NA", "N/A", "null", "NULL", "None", "NaN", "nan", "n/a"]
+MISSING_CELLS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def _require(spark: SparkSession, path: str, hint: str) -> None:
