@@ -1,31 +1,17 @@
 """Plan properties that matter at scale."""
 
-from pathlib import Path
-
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from checks import QUERIES
 from tickertide.operators import keyed as K
 from tickertide.operators.wrangle import keep_within_fence
 from tickertide.sources import files
 
-FOLDER = "/root/testdata/sf0.001"
-pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
-UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups"]
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("model_t", "stream_", "collect_job"))))
-def test_no_cross_join_and_no_python_worker(spark, name):
-    found = plan(QUERIES[name](spark, FOLDER))
-    assert not [node for node in UNWANTED if node in found]
-
-
 def test_top_rows_are_limited_before_the_shuffle(spark):
     table = spark.range(100).select((F.col("id") % 2).alias("k"), "id")
     found = plan(K.top_per_key(table, ["k"], [F.desc("id")], 3))
