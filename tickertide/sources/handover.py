@@ -3,26 +3,15 @@
 A written table survives lost executors and lets every later pass read only its own columns.
 """
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tickertide-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only for a local master."""
+    """The folder named by spark.checkpoint.dir, else one in the warehouse, which executors share too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/handover"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
