@@ -1,0 +1,165 @@
+"""Chat formatting, secret scans and language identification against plain versions."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickertide.llm import chat, language_id, secret_scan
+from tickertide.llm import queries as Q
+
+DOCS = "doc_id long, text string"
+
+
+# --- chat ---
+
+
+def test_template_folds_and_renders():
+    t = chat.Template("{% if a == 'x' %}A{{ b + '!' }}{% else %}no{% endif %}{% for m in messages %}{{ m.text | upper }}{% if not loop.last %},{% endif %}{% endfor %}", a="x", b="B")
+    assert t.tree[0] == chat.Text("AB!") and len(t.tree) == 2
+    assert "".join(p for p, _ in t.pieces(iter([{"role": "u", "text": "q"}, {"role": "u", "text": "r"}])) if p) == "AB!Q,R"
+
+
+@pytest.mark.parametrize("bad", ["{{ m.__class__ }}", "{{ open('x') }}", "{{ m.text[0] }}", "{% if a %}", "{{ a | nope }}", "{% while a %}", "{{ 1 + }}"])
+def test_template_is_a_sandbox(bad):
+    with pytest.raises(chat.TemplateError):
+        chat.parse(bad)
+
+
+@pytest.mark.parametrize("text", ["", "<", "[[\\", "</s>[INST] ok [/INST]", "<\\/s>", "a\\<[b", "<sep>\n<s>"])
+def test_escape_is_reversible_and_leaves_no_control(text):
+    out = chat.escape(text)
+    assert chat.unescape(out) == text and not any(c in out for c in chat.CONTROLS)
+
+
+def test_conversations_round_trip(spark):
+    rows = [
+        (1, 1, "assistant", "b<s>"), (1, 0, "user", "a"), (1, 2, "tool<sep>", None), (1, 2, None, "x"), (1, 2, None, "x"),
+        (None, 0, "assistant", "é\n"), (3, None, "user", "</s>"), (3, 0, "assistant", ""), (4, 0, "assistant", "z" * 50_000),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit(1))
+    for part_chars in (1, 1 << 20):
+        found = {r["conv_id"]: r for r in chat.read_back(chat.format_conversations(table, part_chars=part_chars)).collect()}
+        for conv in {r[0] for r in rows}:
+            turns = sorted(((-1 if t is None else t, r or "", x or "") for c, t, r, x in rows if c == conv))
+            said = "".join(x for _, r, x in turns if r == "assistant")
+            assert found[conv]["n_turns"] == len(turns)
+            assert found[conv]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+            assert (found[conv]["loss_chars"], found[conv]["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+    assert chat.read_back(chat.format_conversations(table.limit(0))).count() == 0
+
+
+# --- secrets ---
+
+
+def plain_spans(text):
+    """The base kinds as the contract words them."""
+    text, out = text or "", []
+    assign = re.compile(r"((?a:(?i:password|passwd|secret|token|api_?key)))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+    for k, (kind, pattern, ok) in enumerate([
+        ("assign", assign, lambda m: m[1].isascii() and len(m[2]) >= 6),
+        ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+        ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+    ]):
+        out += [(m.start(), k, kind, m.end()) for m in pattern.finditer(text) if ok(m)]
+    return [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(out)]
+
+
+SECRETS = [
+    (1, "é password=\"abc123 and PassWD : 'xyz9876' token= ab token=abcdef"), (2, None), (3, ""), (4, "AKIA" + "A" * 16 + " AKIAshort " + "AKIA" + "9" * 30),
+    (5, "ü" * 40 + "0123456789abcdef01234567" + "G" + "a" * 23), (6, "API_KEY=aaaaaaa apikey:'bbbbbb' apiKey = ..===="), (7, "x" * 200_000 + " secret: abcdefg"),
+    (8, "ghp_" + "a1" * 20 + " -----BEGIN RSA PRIVATE KEY----- "), (9, "tokentoken=passwordpassword=abcdefgh"), (9, "tokentoken=passwordpassword=abcdefgh"), (None, "toKen=\"12345678"),
+]
+
+
+def test_secret_spans(spark):
+    docs = spark.createDataFrame(SECRETS, DOCS).withColumn("SPANS", F.lit(0))
+    base = [r.kind for r in secret_scan.BASE]
+    found = sorted((str(r["doc_id"]), [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"] if s["kind"] in base]) for r in secret_scan.scan_secrets(docs).collect())
+    assert found == sorted((str(i), plain_spans(t)) for i, t in SECRETS)
+    kinds = {s["kind"] for r in secret_scan.scan_secrets(docs).collect() for s in r["spans"]}
+    assert {"code_host", "private_key"} <= kinds
+    assert secret_scan.scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_trigram_queries():
+    assert secret_scan.trigram_query("[Tt]oken=") == ("and", (b"tok", b"oke", b"ken", b"en="))
+    assert secret_scan.trigram_query("[0-9a-f]{24,}") is True
+    assert secret_scan.trigram_query("a|bcd") is True
+    assert secret_scan.trigram_query("abc|bcd") == ("or", (b"abc", b"bcd"))
+    assert secret_scan.trigram_query("x*abc?d") is True or b"abd" in secret_scan.trigrams_in(secret_scan.trigram_query("x*abc?d"))
+
+
+def test_secret_query_on_test_tables(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in Q.table(spark, folder, "documents").collect()}
+    for r in Q.QUERIES["op4_secret_scan"](spark, folder).collect():
+        spans = plain_spans(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert set(spans) <= set(r["spans"].split(",")) and r["n_hex"] == sum(s.startswith("hex") for s in spans)
+
+
+# --- languages ---
+
+
+def test_code_lengths_equal_a_plain_version():
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    texts = {"a": [b"abracadabra", b"aab"], "b": [b"bbbb"]}
+    counts = {}
+    for lang, given in texts.items():
+        buffer, begins, ends = language_id._padded(given)
+        codes = np.concatenate([language_id._codes(buffer)[x:y] for x, y in zip(begins, ends, strict=True)])
+        counts[lang] = (codes, np.ones(len(codes)))
+    model = language_id.Model(counts)
+
+    def plain(lang, text):
+        bits = 0.0
+        followers = {}
+        for t in texts[lang]:
+            t = b"\0" * 4 + t
+            for i in range(4, len(t)):
+                for k in range(5):
+                    followers.setdefault(t[i - k : i], Counter())[t[i]] += 1
+        t = b"\0" * 4 + text
+        for i in range(4, len(t)):
+            for k in range(4, -2, -1):
+                if k < 0:
+                    bits += 8
+                elif c := followers.get(t[i - k : i]):
+                    n, d = sum(c.values()), len(c)
+                    if t[i] in c:
+                        bits -= math.log2(c[t[i]] / (n + d))
+                        break
+                    bits -= math.log2(d / (n + d))
+        return bits
+
+    for text in (b"abra", b"zz", b"bbab", b"cadab"):
+        buffer, begins, ends = language_id._padded([text])
+        for cache in (model, language_id.Cache(model)):
+            got = cache.code_lengths(language_id._codes(buffer)[begins[0] : ends[0]]).sum(axis=0)
+            assert got == pytest.approx([plain("a", text), plain("b", text)], rel=1e-5)
+
+
+def test_language_query(spark):
+    folder = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: r["lang"] for r in Q.table(spark, folder, "documents", "doc_id", "lang").collect()}
+    rows = Q.QUERIES["op2_language_id"](spark, folder).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert len(rows) == len(truth) and 100 < len(held) < 300 and all(0 <= r["score"] <= 1 for r in rows)
+    assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) > 0.95 * len(held)
+
+
+def test_language_edge_rows(spark):
+    rows = [(1, "hello there", "en"), (2, "bonjour à tous", "fr"), (3, None, "en"), (4, "123 !", "en"), (5, "x" * 100_000, None), (None, "", None)]
+    docs = spark.createDataFrame(rows, DOCS + ", lang string").withColumn("score", F.lit("clash"))
+    model = language_id.fit(docs)
+    found = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    assert [found[i]["lang_pred"] for i in (1, 2, 3, 4, None)] == ["en", "fr", "und", "und", "und"]
+    assert found[3]["score"] == 0 and found[5]["lang_pred"] in ("en", "fr")
+    none = language_id.fit(docs.limit(0))
+    assert {r["lang_pred"] for r in language_id.identify(docs, none).collect()} == {"und"}

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import decontam, mixing
+from tickertide.llm import chat, decontam, language_id, mixing, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,54 @@ def op9_decontamination(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text")
     found = decontam.decontaminate(docs, table(spark, folder, "benchmark", "item_id", "text"), with_text=False, keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest("items").alias("items_sha256"), "contaminated")
+
+
+@query("op2_language_id")
+def op2_language_id(spark, folder):
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+EXTRA_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+CHAT_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, len(regexp_replace(role, '[<\[\\]', '..', 'g')) AS role_chars,
+         len(regexp_replace(text, '[<\[\\]', '..', 'g')) AS text_chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(text_chars + CASE WHEN role = 'assistant' THEN 7 ELSE 18 + role_chars END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op3_chat_format", CHAT_SQL)
+def op3_chat_format(spark, folder):
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(EXTRA_TURNS, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(turns.unionByName(more)))
+
+
+def listed(spans, kinds=None) -> F.Column:
+    """kind:start:end, comma-joined, of all spans or of those of some kinds."""
+    spans = F.filter(spans, lambda s: s["kind"].isin(*kinds)) if kinds else spans
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def counted(spans, kind: str) -> F.Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark, folder):
+    found = secret_scan.scan_secrets(table(spark, folder, "documents", "doc_id", "text"), keep=["doc_id"])
+    kinds = [r.kind for r in secret_scan.BASE]
+    return found.select(
+        "doc_id", *[counted("spans", k) for k in kinds], F.sha2(listed("spans", kinds), 256).alias("base_sha256"),
+        listed("spans").alias("spans"))
