@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickertide.llm.common import map_rows, small_batches
+from tickertide.sources.handover import materialise
 
 ORDER = 4
 MADE = "lang_pred string, score double, bits double"
@@ -143,6 +144,8 @@ def fit(labelled: DataFrame, rows_per_language: int = 400) -> Model:
     ids = labelled.filter(F.col("lang").isNotNull()).select("lang", order.alias("h"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     cuts = ids.withColumn("k", place).filter(F.col("k") <= rows_per_language).groupBy("lang").agg(F.max("h").alias("most"))
+    # one row per language: written, so that Spark knows its size and need not shuffle the texts by language
+    cuts = materialise(cuts, "language-cuts")
     chosen = labelled.join(cuts, "lang").filter((order <= F.col("most")) & F.col("text").isNotNull())
     counts: dict[str, tuple[list, list]] = {}
     for row in counts_of(chosen).toLocalIterator():
