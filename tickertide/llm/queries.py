@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import chat, decontam, language_id, mixing, secret_scan
+from tickertide.llm import chat, decontam, language_id, licenses, mixing, pii, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,3 +153,59 @@ def op4_secret_scan(spark, folder):
     return found.select(
         "doc_id", *[counted("spans", k) for k in kinds], F.sha2(listed("spans", kinds), 256).alias("base_sha256"),
         listed("spans").alias("spans"))
+
+
+@query("op8_pii")
+def op8_pii(spark, folder):
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit(docs), with_text=False, keep=["doc_id"])
+    return found.select(
+        "doc_id", *[counted("spans", k) for k in pii.BASE], F.sha2(listed("spans", pii.BASE), 256).alias("base_sha256"),
+        listed("spans").alias("spans"))
+
+
+QUALITY_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT r, unnest(range(1, len(w) - 3)) AS i,
+         unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) >= 5),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r),
+parts AS (SELECT r, source, text, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+l AS (
+  SELECT *, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS n,
+         trim(regexp_replace(regexp_replace(lower(s), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM parts),
+n AS (SELECT *, lag(line) OVER (PARTITION BY r ORDER BY i) AS p, lead(line) OVER (PARTITION BY r ORDER BY i) AS q FROM l WHERE n > 0),
+f AS (SELECT *, coalesce(p, q, '') AS before, coalesce(q, p, '') AS after FROM n),
+dup AS (SELECT r, count(*) - count(DISTINCT s) AS n FROM f GROUP BY r),
+boiler AS (
+  SELECT source, line FROM f GROUP BY source, line
+  HAVING least(count(DISTINCT before), count(DISTINCT after)) > 50
+    AND 2 * least(count(DISTINCT before), count(DISTINCT after)) >= count(DISTINCT text)),
+gone AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n FROM f JOIN boiler ON f.line = boiler.line AND f.source IS NOT DISTINCT FROM boiler.source GROUP BY r),
+c AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+         coalesce(gone.n, 0) AS removed_words
+  FROM d LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN gone USING (r))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND n_words - removed_words >= CAST(0.3 AS DOUBLE) * n_words AS kept FROM c
+"""
+
+
+@query("op1_quality_rules", QUALITY_SQL)
+def op1_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents", "doc_id", "source", "text")
+    found = quality.judge(docs, with_text=False)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark, folder):
+    found = licenses.scan_licenses(table(spark, folder, "documents", "doc_id", "text"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
