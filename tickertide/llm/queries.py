@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import chat, decontam, language_id, licenses, mixing, pii, quality, secret_scan
+from tickertide.llm import chat, decontam, language_id, licenses, mixing, near_dup, pii, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +209,8 @@ def op1_quality_rules(spark, folder):
 def op6_license_scan(spark, folder):
     found = licenses.scan_licenses(table(spark, folder, "documents", "doc_id", "text"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op7_ngram_jaccard")
+def op7_ngram_jaccard(spark, folder):
+    return near_dup.join_near(table(spark, folder, "documents", "doc_id", "text")).select("doc_id", "class_id", "n_links")
