@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import chat, decontam, language_id, licenses, mixing, near_dup, pii, quality, secret_scan
+from tickertide.llm import chat, decontam, language_id, licenses, mixing, near_dup, pii, quality, secret_scan, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -214,3 +214,9 @@ def op6_license_scan(spark, folder):
 @query("op7_ngram_jaccard")
 def op7_ngram_jaccard(spark, folder):
     return near_dup.join_near(table(spark, folder, "documents", "doc_id", "text")).select("doc_id", "class_id", "n_links")
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark, folder):
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents", "doc_id", "text"), with_text=False, keep=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
