@@ -157,7 +157,7 @@ SELECT '{rule}' AS rule, label, {time_text('min(tick)')} AS pending_at, {time_te
 FROM (SELECT *, sum(CASE WHEN on_ THEN 0 ELSE 1 END) OVER (PARTITION BY label ORDER BY tick) AS stretch FROM (
   SELECT label, tick, {condition} AS on_ FROM (
     SELECT s.label, s.tick, sum(coalesce(n, 0)) OVER (PARTITION BY s.label ORDER BY s.tick ROWS BETWEEN {steps - 1} PRECEDING AND CURRENT ROW) AS value
-    FROM (SELECT label, unnest(generate_series(first_at, (SELECT max(date_trunc('hour', ts)) FROM metric WHERE kind = '{kind}'), INTERVAL 1 HOUR)) AS tick
+    FROM (SELECT label, unnest(generate_series(first_at, (SELECT max(date_trunc('hour', ts)) FROM metric), INTERVAL 1 HOUR)) AS tick
           FROM (SELECT {label} AS label, min(date_trunc('hour', ts)) AS first_at FROM metric WHERE kind = '{kind}' GROUP BY 1)) s
     LEFT JOIN (SELECT {label} AS label, date_trunc('hour', ts) AS tick, count(*) AS n FROM metric WHERE kind = '{kind}' GROUP BY ALL) c USING (label, tick))))
 WHERE on_ GROUP BY label, stretch HAVING count(*) > {hold}"""
@@ -165,10 +165,10 @@ WHERE on_ GROUP BY label, stretch HAVING count(*) > {hold}"""
 
 def _latency_alert_sql(hold):
     rolling = f"""(SELECT s.label, s.tick, m.latency_s FROM (
-      SELECT label, unnest(generate_series(first_at, (SELECT max(date_trunc('hour', ts)) FROM metric WHERE kind = 'prediction'), INTERVAL 1 HOUR)) AS tick
+      SELECT label, unnest(generate_series(first_at, (SELECT max(date_trunc('hour', ts)) FROM metric), INTERVAL 1 HOUR)) AS tick
       FROM (SELECT model AS label, min(date_trunc('hour', ts)) AS first_at FROM metric WHERE kind = 'prediction' GROUP BY 1)) s
       JOIN metric m ON m.kind = 'prediction' AND m.model = s.label AND date_trunc('hour', m.ts) BETWEEN s.tick - INTERVAL 5 HOUR AND s.tick)"""
-    spine = """(SELECT label, unnest(generate_series(first_at, (SELECT max(date_trunc('hour', ts)) FROM metric WHERE kind = 'prediction'), INTERVAL 1 HOUR)) AS tick
+    spine = """(SELECT label, unnest(generate_series(first_at, (SELECT max(date_trunc('hour', ts)) FROM metric), INTERVAL 1 HOUR)) AS tick
       FROM (SELECT model AS label, min(date_trunc('hour', ts)) AS first_at FROM metric WHERE kind = 'prediction' GROUP BY 1))"""
     return f"""
 SELECT 'latency' AS rule, label, {time_text('min(tick)')} AS pending_at, {time_text(f'min(tick) + {hold} * INTERVAL 1 HOUR')} AS firing_at, {time_text('max(tick)')} AS last_at
@@ -182,7 +182,7 @@ WHERE on_ GROUP BY label, stretch HAVING count(*) > {hold}"""
     with_views(
         " UNION ALL ".join(
             [
-                _alert_sql("errors", "scrape_error", "subreddit", 6, "value > 0", 2),
+                _alert_sql("errors", "scrape_error", "subreddit || '|' || error_type", 6, "value > 0", 2),
                 _alert_sql("no_posts", "post_scraped", "subreddit", 2, "value = 0", 1),
                 _alert_sql("rate_limits", "rate_limit_hit", "subreddit", 6, "value > 5", 2),
                 _alert_sql("requests", "api_request", "subreddit", 1, "value / 3600::DOUBLE > 0.0002", 1),
@@ -195,7 +195,9 @@ def alert_rules(spark, folder):
     """One-hour steps, because the event table is sparse."""
     holds = {"errors": 2, "no_posts": 1, "rate_limits": 2, "requests": 1, "latency": 2}
     limits = {"requests": 0.0002}
-    return times_as_text(P.alert_rules(events(spark, folder), LATENCY_BOUNDS, "1 hour", 6, 2, holds, limits))
+        # these events have no method, endpoint and status
+    labels = {"requests": ["subreddit"]}
+    return times_as_text(P.alert_rules(events(spark, folder), LATENCY_BOUNDS, "1 hour", 6, 2, holds, limits, labels))
 
 
 @check(
@@ -277,12 +279,15 @@ def stream_window_counts(spark, folder):
     return times_as_text(jobs.latest_windows(_written(spark, query, path), ["subreddit"]))
 
 
-@check("stream_scored_posts")
+@check("stream_scored_posts", "SELECT doc_id AS id, 'logistic_regression' AS model_used, true AS sound FROM documents")
 def stream_scored_posts(spark, folder):
+    """Every document is scored once by the stored model; no model is marked best, so it is logistic regression."""
     tables = _tables(spark, folder)
     name, model = M.load_best_model(spark, _trained(spark, folder)[1])
     schema = V.table(spark, folder, "documents").schema
     documents = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
     scored = jobs.scored_posts(documents.withColumnRenamed("doc_id", "id"), model, name, tables.weights, tables.numeric, V.lemmas(spark))
     path = new_path(spark, "scored")
-    return _written(spark, jobs.append_to(scored, path, path + "-checkpoint", available_now=True), path)
+    found = _written(spark, jobs.append_to(scored, path, path + "-checkpoint", available_now=True), path)
+    total = F.col("positive") + F.col("neutral") + F.col("negative")
+    return found.select("id", "model_used", ((F.abs(total - 1) < 1e-3) & F.col("sentiment").isNotNull()).alias("sound"))

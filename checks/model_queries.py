@@ -146,25 +146,31 @@ def likelihoods(spark, folder):
     return rounded(M.likelihoods(model.weights_table(table, ["label"]), len(model.terms)))
 
 
-# --- trained models: no SQL form ----------------------------------------------------------
+# --- trained models: SQL has what must hold for any fit -----------------------------------
+
+_LABELS_SQL = "SELECT split, sentiment_label, count(*) AS n FROM split GROUP BY ALL"
+_MODELS_SQL = "(SELECT unnest(['logistic_regression', 'naive_bayes', 'random_forest']) AS model_name)"
 
 
 @lru_cache(maxsize=4)
 def _tables(spark, folder):
-    return build_features(usable(spark, folder), max_terms=1000)
-
-
-# a smaller forest, so that the check of all models stays short
-_SMALL_FOREST = {"random_forest": {"numTrees": 20, "maxDepth": 8}}
+    return build_features(usable(spark, folder))
 
 
 @lru_cache(maxsize=4)
 def _trained(spark, folder):
+    """The base models with their documented parameters."""
     path = new_path(spark, "models")
-    return train_and_compare(_tables(spark, folder), _SMALL_FOREST, path), path
+    return train_and_compare(_tables(spark, folder), folder=path), path
+
+
+def _sound(p, prediction, classes=3):
+    """Probabilities sum to 1 and the prediction has the largest."""
+    total = F.aggregate(p, F.lit(0.0), lambda t, x: t + x)
+    return (F.size(p) == classes) & (F.abs(total - 1) < 1e-6) & (F.get(p, prediction.cast("int")) == F.array_max(p))
 
 
-@check("feature_job")
+@check("feature_job", with_views(_LABELS_SQL, "split"))
 def feature_job(spark, folder):
     """Label counts per split of the stored features."""
     path = new_path(spark, "features")
@@ -180,52 +186,79 @@ def label_counts_per_split(spark, folder):
     return label_counts(_split_table(spark, folder))
 
 
-@check("model_train_all")
+@check("model_train_all", with_views(f"SELECT model_name, n, true AS agrees, true AS timed FROM {_MODELS_SQL}, (SELECT count(*) AS n FROM split WHERE split = 'test')", "split"))
 def train_all(spark, folder):
-    return _trained(spark, folder)[0].comparison
+    """The comparison table agrees with the predictions on all test rows."""
+    trained = _trained(spark, folder)[0]
+    hits = F.round(F.avg((F.col("label") == F.col("prediction")).cast("double")), 4)
+    counted = trained.predictions.groupBy("model_name").agg(F.count(F.lit(1)).alias("n"), hits.alias("_hits"))
+    both = counted.join(trained.comparison, "model_name")
+    return both.select("model_name", "n", (F.abs(F.col("_hits") - F.col("accuracy")) < 2e-4).alias("agrees"), (F.col("training_time") >= 0).alias("timed"))
 
 
-@check("model_predictions")
+@check(
+    "model_predictions",
+    with_views(f"SELECT model_name, id, sentiment_label AS label, true AS sound FROM {_MODELS_SQL}, split WHERE split = 'test'", "split"),
+)
 def model_predictions(spark, folder):
-    return _trained(spark, folder)[0].predictions
+    found = _trained(spark, folder)[0].predictions
+    p = F.array("p0", "p1", "p2")
+    return found.select("model_name", "id", F.col("label").cast("int").alias("label"), _sound(p, F.col("prediction")).alias("sound"))
 
 
-@check("model_tune")
-def model_tune(spark, folder):
-    """Searches over a part of each grid; the search table of all models."""
+@lru_cache(maxsize=4)
+def _tuned(spark, folder):
+    """Searches over a part of each grid, to keep the check short; stored apart from the base models."""
     spaces = {
         "logistic_regression": lambda e: ParamGridBuilder().addGrid(e.regParam, [0.001, 0.1]).addGrid(e.maxIter, [50]).build(),
         "naive_bayes": lambda e: ParamGridBuilder().addGrid(e.smoothing, M.SMOOTHINGS).build(),
         "random_forest": lambda e: [{e.numTrees: 5, e.maxDepth: d} for d in (3, 5)],
     }
-    tuned = tune_and_compare(_tables(spark, folder), spaces, folder=_trained(spark, folder)[1])
-    return reduce(DataFrame.unionByName, tuned.searches.values())
+    path = new_path(spark, "tuned-models")
+    return tune_and_compare(_tables(spark, folder), spaces, folder=path), path
+
 
+@check(
+    "model_tune",
+    with_views(f"SELECT model_name, 1 AS best, true AS sound FROM {_MODELS_SQL} WHERE (SELECT count(*) FROM split) > 0", "split"),
+)
+def model_tune(spark, folder):
+    """One best point per model, with the highest mean F1."""
+    searches = reduce(DataFrame.unionByName, _tuned(spark, folder)[0].searches.values())
+    best = F.max(F.when(F.col("is_best"), F.col("mean_f1")))
+    return searches.groupBy("model_name").agg(
+        F.count_if("is_best").cast("int").alias("best"), ((best == F.max("mean_f1")) & (F.min("mean_f1") > 0) & (best <= 1)).alias("sound"))
 
-@check("model_tuned_evaluation")
+
+@check("model_tuned_evaluation", with_views(f"SELECT model_name, n FROM {_MODELS_SQL}, (SELECT count(*) AS n FROM split WHERE split = 'test')", "split"))
 def tuned_evaluation(spark, folder):
-    spaces = {"naive_bayes": lambda e: ParamGridBuilder().addGrid(e.smoothing, [0.1, 1.0]).build()}
-    return tune_and_compare(_tables(spark, folder), spaces, ["naive_bayes"]).comparison
+    return _tuned(spark, folder)[0].predictions.groupBy("model_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+_REQUEST_ROWS = """
+(SELECT doc_id AS id, text AS t FROM documents UNION ALL
+ SELECT -doc_id - 1, CASE doc_id % 13 WHEN 1 THEN substr(text, 1, 2) WHEN 2 THEN '   ' WHEN 3 THEN repeat('a', 5001) ELSE repeat('a', 5000) END
+ FROM documents WHERE doc_id % 13 BETWEEN 1 AND 4)"""
+_REQUESTS_SQL = f"""
+SELECT id, model, concat_ws(',', CASE WHEN length(t) < 3 THEN 'text_too_short' WHEN length(t) > 5000 THEN 'text_too_long'
+         WHEN trim(t) = '' THEN 'text_blank' END, CASE WHEN model = 'other' THEN 'unknown_model' END) AS reason
+FROM (SELECT *, ['best', 'logistic_regression', 'naive_bayes', 'random_forest', 'other'][CAST((id % 5 + 5) % 5 AS INT) + 1] AS model FROM {_REQUEST_ROWS})"""
 
 
-@check("model_score_texts")
+@check("model_score_texts", f"SELECT id, model, true AS sound FROM ({_REQUESTS_SQL}) WHERE reason = ''")
 def score_texts(spark, folder):
-    """Valid requests scored with the stored best model."""
+    """Each valid request scored by the model it names; all four names occur."""
     tables = _tables(spark, folder)
-    name, model = M.load_best_model(spark, _trained(spark, folder)[1])
-    valid = M.valid_requests(M.check_requests(V.requests(spark, folder)))
-    return M.score_texts(valid, model, name, tables.weights, tables.numeric, V.lemmas(spark))
+    scored, _ = M.score_requests(V.requests(spark, folder), _trained(spark, folder)[1], tables.weights, tables.numeric, V.lemmas(spark))
+    most = F.greatest("positive", "neutral", "negative")
+    named = F.when(F.col("sentiment") == "positive", F.col("positive")).when(F.col("sentiment") == "neutral", F.col("neutral")).otherwise(F.col("negative"))
+    used = F.when(F.col("model") == "best", "logistic_regression").otherwise(F.col("model"))
+    total = F.col("positive") + F.col("neutral") + F.col("negative")
+    sound = (named == most) & (F.abs(total - 1) < 1e-3) & (F.abs(F.col("confidence") - most) < 1e-9) & (F.col("model_used") == used)
+    return scored.select("id", "model", sound.alias("sound"))
 
 
-@check(
-    "model_check_requests",
-    """
-SELECT doc_id AS id, model, concat_ws(',', CASE WHEN length(t) < 3 THEN 'text_too_short' WHEN length(t) > 5000 THEN 'text_too_long'
-         WHEN trim(t) = '' THEN 'text_blank' END, CASE WHEN model = 'other' THEN 'unknown_model' END) AS reason
-FROM (SELECT doc_id, CASE doc_id % 13 WHEN 1 THEN substr(text, 1, 2) WHEN 2 THEN '   ' WHEN 3 THEN repeat('a', 5001) WHEN 4 THEN repeat('a', 5000)
-               ELSE text END AS t,
-             ['best', 'logistic_regression', 'naive_bayes', 'random_forest', 'other'][CAST(doc_id % 5 AS INT) + 1] AS model FROM documents)""",
-)
+@check("model_check_requests", _REQUESTS_SQL)
 def check_requests(spark, folder):
     return M.check_requests(V.requests(spark, folder)).select("id", "model", "reason")
 

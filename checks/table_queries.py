@@ -308,10 +308,14 @@ def _pivot_sql(key, name, source):
     return f"SELECT {key} AS {name}, {columns} FROM {source} WHERE sentiment IS NOT NULL GROUP BY 1"
 
 
-@check("chart_sentiment_by_community", with_views(_pivot_sql("subreddit", "subreddit", "cleaned"), "cleaned"))
+_LONG_CLEAN = "(SELECT * FROM cleaned WHERE len(string_split(cleaned_text, ' ')) >= 5)"
+
+
+@check("chart_sentiment_by_community", with_views(_pivot_sql("subreddit", "subreddit", _LONG_CLEAN), "cleaned"))
 def sentiment_by_community(spark, folder):
+    """Of texts with at least five words after cleaning, so that the cleaning is part of the plan."""
     posts = W.add_full_clean(labelled(spark, folder), V.lemmas(spark))
-    return C.sentiment_by_community(posts)
+    return C.sentiment_by_community(W.keep_long_texts(posts, 5))
 
 
 @check(

@@ -73,3 +73,10 @@ def test_label_limits(spark):
     values = spark.createDataFrame([(v,) for v in (0.05, 0.04999, -0.05, -0.04999, 0.0, None)], "c double")
     labels = [r[0] for r in values.select(L.label_of(F.col("c"))).collect()]
     assert labels == ["positive", "neutral", "negative", "neutral", "neutral", "neutral"]
+
+
+@pytest.mark.parametrize("marks", [1, 199, 500, 5000])
+def test_any_number_of_marks_around_a_word(spark, marks):
+    assert score(spark, "good" + "." * marks)[0] == compound(1.9)
+    assert score(spark, "." * marks + "good")[0] == compound(1.9)
+    assert score(spark, "not " + "," * marks + "good" + ";" * marks)[0] == compound(1.9 * -0.74)

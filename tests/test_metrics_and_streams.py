@@ -38,12 +38,45 @@ def test_alert_hold_times(spark):
         for r in P.alert_rules(events, [1.0]).orderBy("rule", "label", "pending_at").collect()
     ]
     assert found == [
+        # the last event of any kind is at minute 40
         ("errors", "s", at(0), at(1), at(4)),
         ("errors", "s", at(20), at(21), at(25)),
         ("no_posts", "s", at(10), at(20), at(29)),
     ]
 
 
+def test_alerts_see_outages(spark):
+    rows = [(at(0), "post_scraped", "s", None, None), (at(0), "scrape_error", "s", None, None)]
+    rows += [(at(m), "prediction", None, "m", 0.1) for m in range(0, 61)]
+    events = spark.createDataFrame(rows, "ts timestamp, kind string, subreddit string, model string, latency_s double")
+    found = {r["rule"]: r for r in P.alert_rules(events, [1.0]).collect()}
+    assert (found["no_posts"]["pending_at"], found["no_posts"]["firing_at"], found["no_posts"]["last_at"]) == (at(10), at(20), at(60))
+    assert (found["errors"]["pending_at"], found["errors"]["firing_at"], found["errors"]["last_at"]) == (at(0), at(1), at(4))
+    assert set(found) == {"no_posts", "errors"}
+
+
+def test_alert_series_are_told_apart(spark):
+    rows = [(at(m), "scrape_error", "s", "E1" if m else "E2", None, None) for m in (0, 5)] + [(at(30), "post_scraped", "s", None, None, None)]
+    events = spark.createDataFrame(rows, "ts timestamp, kind string, subreddit string, error_type string, model string, latency_s double")
+    found = [(r["rule"], r["label"], r["last_at"]) for r in P.alert_rules(events, [1.0]).orderBy("label").collect()]
+    assert found == [("errors", "s|E1", at(9)), ("errors", "s|E2", at(4))]
+
+
+def test_large_dictionary_on_a_stream(spark, tmp_path):
+    from tickertide.functions.text import clean_tokens
+    from tickertide.operators.lemmas import lemmatise
+
+    lemmas = spark.range(25_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("token"), F.concat(F.lit("l"), F.col("id").cast("string")).alias("lemma"))
+    posts = spark.range(40).select("id", F.concat_ws(" ", F.concat(F.lit("w"), (F.col("id") * 600).cast("string")), F.lit("other w7")).alias("text"), (F.col("id") % 2).cast("int").alias("day"))
+    write_days(posts, str(tmp_path / "in"), 2)
+    score = lambda df: lemmatise(df, clean_tokens("text"), lemmas, "out")
+    stream = stream_of(spark, str(tmp_path / "in"), posts.drop("day").schema)
+    jobs.append_scored(stream, score, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+    found = sorted((r["id"], r["out"]) for r in spark.read.parquet(str(tmp_path / "out")).select("id", "out").collect())
+    assert found == sorted((r["id"], r["out"]) for r in score(posts).select("id", "out").collect())
+    assert found[1][1] == ["l600", "other", "l7"]
+
+
 def write_days(df, folder, days):
     for day in range(days):
         df.filter(F.col("day") == day).drop("day").coalesce(1).write.parquet(f"{folder}/day={day}")

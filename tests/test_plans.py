@@ -1,7 +1,5 @@
 """Plan properties that matter at scale."""
 
-import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tickertide.operators import keyed as K
@@ -32,11 +30,24 @@ def test_counting_reads_no_column(spark, tmp_path):
 
 def test_bounds_are_a_subquery(spark):
     found = plan(keep_within_fence(spark.range(9), "id"))
-    assert "Subquery" in found and "Join" not in found
+    assert "Subquery" in found and "NestedLoopJoin" not in found and "CartesianProduct" not in found
 
 
-def test_broadcast_is_refused_beyond_its_bound(spark):
-    groups = spark.range(50)
-    assert K.few(groups, 50).count() == 50
-    with pytest.raises(PySparkException, match="many_groups"):
-        K.few(groups, 49).collect()
+def test_flagship_cleans_its_texts(spark):
+    from pathlib import Path
+
+    import pytest
+
+    import __spark_entry__
+
+    if not Path(__spark_entry__.SMALL).exists():
+        pytest.skip("no test tables")
+    assert "regexp_replace" in plan(__spark_entry__.entry(spark)).lower()
+
+
+def test_quantiles_of_many_keys(spark):
+    from tickertide.operators.ordered import quantiles_per_key
+
+    values = spark.range(50_000).select((F.col("id") % 5000).alias("k"), (F.col("id") / 5000).cast("int").cast("decimal(9,2)").alias("v"))
+    found = quantiles_per_key(values, "v", [0.25, 0.5], ["k"]).collect()
+    assert len(found) == 5000 and {tuple(r["quantiles"]) for r in found} == {(2.25, 4.5)}

@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickertide.operators.keyed import few
 from tickertide.operators.ordered import running_sums
 
 LABELS = [0, 1, 2]
@@ -102,7 +101,7 @@ def _ranked_scores(predictions: DataFrame) -> DataFrame:
     keys = ["model_name", "class"]
     totals = counts.groupBy(*keys).agg(F.sum("positives").alias("_p"), F.sum("negatives").alias("_n"))
     running = running_sums(counts, keys, "_order", ["positives", "negatives"])
-    return running.join(few(totals), keys)  # models x three classes
+    return running.join(totals, keys)
 
 
 def roc_points(predictions: DataFrame, origin: bool = True) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickertide.functions.text import feature_words, is_blank, let, ngram_range
 from tickertide.functions.vectors import sparse_vector, vector_parts
-from tickertide.operators.keyed import few, top_per_key
+from tickertide.operators.keyed import top_per_key
 from tickertide.operators.ordered import hash_of, hash_order_cuts
 from tickertide.operators.stats import existing
 from tickertide.settings import (
@@ -22,7 +22,7 @@ def drop_blank_texts(df: DataFrame) -> DataFrame:
 def _with_cuts(df: DataFrame, label: str, id_column: str, seed: int, shares: list[float]) -> DataFrame:
     # one row per label; the wide rows are not shuffled
     cuts = hash_order_cuts(df, label, id_column, seed, shares)
-    joined = df.join(few(cuts), label, "left")
+    joined = df.join(cuts, label, "left")
     return joined.withColumn("_hash", hash_of(id_column, seed)).select(*df.columns, "_hash", "cuts")
 
 

@@ -3,8 +3,6 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickertide.settings import GROUP_ROWS
-
 
 def first_per_key(
     df: DataFrame, keys: list[str], order: list[str], copies: str | None = None
@@ -30,18 +28,6 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int) ->
     return ranked.filter(F.col("_rank") <= k).drop("_rank")
 
 
-def few(table: DataFrame, max_rows: int = GROUP_ROWS) -> DataFrame:
-    """A broadcast hint behind a size check at run time, for one row (or a fixed number) per group.
-
-    A larger table stops the job with a message instead of filling the executors; the callers
-    offer many_groups=True, which joins without a broadcast.
-    """
-    counted = table.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
-    refused = F.raise_error(F.lit(f"more than {max_rows} rows to broadcast; pass many_groups=True"))
-    allowed = F.when(F.col("_rows") <= max_rows, F.lit(True)).otherwise(refused.cast("boolean"))
-    return F.broadcast(counted.filter(allowed).drop("_rows"))
-
-
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys holding more than `share` of the non-null rows: fewer than 1 / share of them."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))

@@ -57,7 +57,7 @@ def join_lookup(
     Hot tokens are split off; `id_column` is unique per row.
     """
     if df.isStreaming:
-        raise ValueError(f"a stream takes a table of at most {LOOKUP_ROWS} rows here; use foreachBatch for a larger one")
+        raise ValueError(f"a stream takes a table of at most {LOOKUP_ROWS} rows here; append_scored runs the batch function for a larger one")
     kind = table.schema[value].dataType.simpleString()
     unique = _unique_keys(table, key, value).withColumnRenamed(value, "_value")
     pairs = df.select(id_column, F.posexplode(tokens).alias("_at", key))

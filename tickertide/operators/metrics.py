@@ -136,35 +136,40 @@ def model_gauges(history: DataFrame) -> DataFrame:
 # --- alerts -------------------------------------------------------------------------------
 
 
-def minute_spine(events: DataFrame, labels: list[str], step: str) -> DataFrame:
-    """Every step from a label's first event to the last event of all labels."""
+def minute_spine(events: DataFrame, labels: list[str], step: str, until: DataFrame | None = None) -> DataFrame:
+    """Every step from a label's first event to the last event of `until` (all labels of events unless given)."""
     grain = F.window("ts", step)["start"]
-    last = events.agg(F.max(grain).alias("last")).scalar()
+    last = (events if until is None else until).agg(F.max(grain).alias("last")).scalar()
     firsts = events.groupBy(*labels).agg(F.min(grain).alias("_first"))
     steps = F.sequence("_first", last, F.expr(f"interval {step}"))
     return firsts.select(*labels, F.explode(steps).alias("at"))
 
 
-def _on_spine(events: DataFrame, labels: list[str], step: str, aggregates: list[Column]) -> DataFrame:
+def _on_spine(
+    events: DataFrame, labels: list[str], step: str, aggregates: list[Column], until: DataFrame | None = None
+) -> DataFrame:
     """Aggregates per step, zero where nothing happened. Rows depend on time, not on events."""
     per_step = events.groupBy(*labels, F.window("ts", step)["start"].alias("at")).agg(*aggregates)
     names = [c for c in per_step.columns if c not in labels and c != "at"]
-    return minute_spine(events, labels, step).join(per_step, [*labels, "at"], "left").fillna(0, names)
+    return minute_spine(events, labels, step, until).join(per_step, [*labels, "at"], "left").fillna(0, names)
 
 
-def rolling_counts(events: DataFrame, labels: list[str], step: str, steps: int) -> DataFrame:
+def rolling_counts(
+    events: DataFrame, labels: list[str], step: str, steps: int, until: DataFrame | None = None
+) -> DataFrame:
     """(labels, at, value): events in the last `steps` steps, at every step."""
-    dense = _on_spine(events, labels, step, [F.count(F.lit(1)).alias("n")])
+    dense = _on_spine(events, labels, step, [F.count(F.lit(1)).alias("n")], until)
     window = Window.partitionBy(*labels).orderBy("at").rowsBetween(1 - steps, 0)
     return dense.select(*labels, "at", F.sum("n").over(window).alias("value"))
 
 
 def rolling_quantile(
-    events: DataFrame, value: str, bounds: list[float], labels: list[str], step: str, steps: int, share: float = 0.95
+    events: DataFrame, value: str, bounds: list[float], labels: list[str], step: str, steps: int, share: float = 0.95,
+    until: DataFrame | None = None,
 ) -> DataFrame:
     """(labels, at, value): bucket quantile over the last `steps` steps; null without observations."""
     known = events.filter(F.col(value).isNotNull())
-    dense = _on_spine(known, labels, step, _bucket_counts(value, bounds))
+    dense = _on_spine(known, labels, step, _bucket_counts(value, bounds), until)
     window = Window.partitionBy(*labels).orderBy("at").rowsBetween(1 - steps, 0)
     names = [c for c in dense.columns if c.startswith("_")]
     summed = dense.select(*labels, "at", *[F.sum(n).over(window).alias(n) for n in names])
@@ -191,38 +196,50 @@ def firing(
     )
 
 
+#: Columns that tell the series of each rule apart, as far as the events have them.
+ALERT_LABELS = {
+    "errors": ["subreddit", "error_type"], "no_posts": ["subreddit"], "rate_limits": ["subreddit"],
+    "requests": ["method", "endpoint", "status_code"], "latency": ["model"],
+}
+
+
 def alert_rules(
     events: DataFrame, bounds: list[float], step: str = "1 minute", short: int = 5, long: int = 10,
-    holds: dict[str, int] | None = None, limits: dict[str, float] | None = None,
+    holds: dict[str, int] | None = None, limits: dict[str, float] | None = None, labels: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """All five rules over the event table: (rule, label, pending_at, firing_at, last_at).
 
-    Windows and hold times are in steps, so a sparse table can be tested with longer steps.
+    Windows and hold times are in steps, so a sparse table can be tested with longer steps. Each rule's
+    series are told apart by its `labels` (defaults in ALERT_LABELS; columns that the table lacks are left out,
+    a null is an empty label); label joins them by "|". Every series lasts until the last event of any kind,
+    so that an outage is seen.
     """
     holds = {"errors": 1, "no_posts": 10, "rate_limits": 2, "requests": 2, "latency": 2, **(holds or {})}
     limits = {"rate_limits": 5, "requests": 50, "latency": 1.0, **(limits or {})}
-
-    def of(kind: str, label: str) -> DataFrame:
-        kept = events.filter((F.col("kind") == kind) & F.col(label).isNotNull())
-        return kept.select(F.col(label).cast("string").alias("label"), "ts", "latency_s")
-
-    labels = ["label"]
+    kinds = {
+        "errors": "scrape_error", "no_posts": "post_scraped", "rate_limits": "rate_limit_hit", "requests": "api_request",
+        "latency": "prediction",
+    }
+    named = {**ALERT_LABELS, **(labels or {})}
+
+    def of(rule: str) -> DataFrame:
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in named[rule] if c in events.columns]
+        kept = events.filter(F.col("kind") == kinds[rule])
+        return kept.select(F.concat_ws("|", *parts).alias("label"), "ts", "latency_s")
+
+    label = ["label"]
     step_seconds = F.unix_timestamp(F.col("at") + F.expr(f"interval {step}")) - F.unix_timestamp("at")
     value = F.col("value")
 
     def rule(name: str, series: DataFrame, condition: Column) -> DataFrame:
-        return firing(series, labels, condition, holds[name], name, step)
+        return firing(series, label, condition, holds[name], name, step)
 
-    errors = rolling_counts(of("scrape_error", "subreddit"), labels, step, short)
-    posts = rolling_counts(of("post_scraped", "subreddit"), labels, step, long)
-    hits = rolling_counts(of("rate_limit_hit", "subreddit"), labels, step, short)
-    requests = rolling_counts(of("api_request", "subreddit"), labels, step, 1)
-    latency = rolling_quantile(of("prediction", "model"), "latency_s", bounds, labels, step, short)
+    latency = rolling_quantile(of("latency"), "latency_s", bounds, label, step, short, until=events)
     found = [
-        rule("errors", errors, value > 0),
-        rule("no_posts", posts, value == 0),
-        rule("rate_limits", hits, value > limits["rate_limits"]),
-        rule("requests", requests, value / step_seconds > limits["requests"]),
+        rule("errors", rolling_counts(of("errors"), label, step, short, events), value > 0),
+        rule("no_posts", rolling_counts(of("no_posts"), label, step, long, events), value == 0),
+        rule("rate_limits", rolling_counts(of("rate_limits"), label, step, short, events), value > limits["rate_limits"]),
+        rule("requests", rolling_counts(of("requests"), label, step, 1, events), value / step_seconds > limits["requests"]),
         rule("latency", latency, value > limits["latency"]),
     ]
     return reduce(DataFrame.unionByName, found)

@@ -1,99 +1,101 @@
 """Running totals, ranks and exact quantiles without gathering a group in one task."""
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickertide.functions.text import let
-from tickertide.operators.keyed import few
+from tickertide.sources.handover import materialise
+
+
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-STEP = 8
-RANGES = STEP * STEP
-HASH_DIGITS = 3
 
+def _step(spark: SparkSession) -> int:
+    """A group is cut into step * step ranges, about one for each shuffle partition; the result does not depend on it."""
+    return max(2, math.ceil(math.sqrt(_partitions(spark))))
 
-def _as_is(table: DataFrame) -> DataFrame:
-    return table
 
+def _hash_digits(spark: SparkSession) -> int:
+    """Hex digits that give many more prefixes than tasks; the result does not depend on them."""
+    return max(2, math.ceil(math.log(16 * _partitions(spark), 16)))
 
-def _cuts(order: str, sums: list[str]) -> Column:
-    """RANGES - 1 ascending cuts, and every STEP-th of them.
+
+def _cuts(order: str, sums: list[str], step: int) -> Column:
+    """Ascending cuts between the ranges, and every step-th of them.
 
     The totals make this read the same columns as the running sums, so that Spark shuffles the
     input once and reuses it.
     """
-    shares = [i / RANGES for i in range(1, RANGES)]
-    cuts = F.percentile_approx(order, shares, 10 * RANGES)
-    every = F.transform(F.sequence(F.lit(1), F.lit(STEP - 1)), lambda k: F.get(cuts, k * STEP - 1))
+    ranges = step * step
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = F.percentile_approx(order, shares, 10 * ranges)
+    every = F.transform(F.sequence(F.lit(1), F.lit(step - 1)), lambda k: F.get(cuts, k * step - 1))
     totals = F.array(*[F.sum(s) for s in sums])
     return F.struct(cuts.alias("all"), every.alias("every"), totals.alias("totals"))
 
 
-def _cuts_below(cuts: Column, value: Column) -> Column:
+def _cuts_below(cuts: Column, value: Column, step: int) -> Column:
     """How many of the cuts are below the value: whole steps first, then inside one step."""
 
     def below(part):
         return F.size(F.filter(part, lambda c: c < value))
 
     def inside(k):
-        return k * STEP + below(F.slice(cuts["all"], k * STEP + 1, F.lit(STEP)))
+        return k * step + below(F.slice(cuts["all"], k * step + 1, F.lit(step)))
 
     # never null, so that no null test is pushed down to the single rows
     return F.coalesce(let(below(cuts["every"]), inside), F.lit(0))
 
 
-def running_sums(
-    df: DataFrame, keys: list[str], order: str, sums: list[str], many_groups: bool = False
-) -> DataFrame:
+def running_sums(df: DataFrame, keys: list[str], order: str, sums: list[str]) -> DataFrame:
     """Add running_<s> (inclusive, ascending `order`) to a table with one row per (keys, order).
 
     Each group is cut into ranges of `order`; totals per range give the start value of a range,
     so a task only sums within one range. The approximate cuts set the balance, not the result.
-    Without keys there is one group. For more groups than fit a broadcast pass many_groups=True.
+    Without keys there is one group. Any number of groups works: Spark chooses the joins from sizes.
     """
-    small = _as_is if many_groups else few
-    cuts = df.groupBy(*keys).agg(_cuts(order, sums).alias("_cuts"))
+    step = _step(df.sparkSession)
+    cuts = df.groupBy(*keys).agg(_cuts(order, sums, step).alias("_cuts"))
     if keys:
-        ranged = df.join(small(cuts), keys)
+        ranged = df.join(cuts, keys)
     else:
         ranged = df.withColumn("_cuts", cuts.scalar())
-    ranged = ranged.withColumn("_range", _cuts_below(F.col("_cuts"), F.col(order))).drop("_cuts")
+    ranged = ranged.withColumn("_range", _cuts_below(F.col("_cuts"), F.col(order), step)).drop("_cuts")
 
     range_keys = [*keys, "_range"]
     totals = ranged.groupBy(*range_keys).agg(*[F.sum(s).alias(f"_total_{s}") for s in sums])
-    # RANGES rows per group
+    # step * step rows per group
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         *range_keys,
         *[F.coalesce(F.sum(f"_total_{s}").over(earlier), F.lit(0)).alias(f"_start_{s}") for s in sums],
     )
     within = Window.partitionBy(*range_keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.join(small(starts), range_keys)
+    joined = ranged.join(starts, range_keys)
     return joined.select(
         *df.columns,
         *[(F.sum(s).over(within) + F.col(f"_start_{s}")).alias(f"running_{s}") for s in sums],
     )
 
 
-def _is_integral(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.IntegralType)
-
-
 def exact_quantiles(
-    df: DataFrame, column: str, shares: list[float], keys: list[str] | None = None, many_groups: bool = False
+    df: DataFrame, column: str, shares: list[float], keys: list[str] | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles as (keys, quantiles ARRAY<DOUBLE>), for any number of values.
 
-    Values are counted before the shuffle; the two order statistics next to each share are read
-    off the running counts.
+    Values are counted before the shuffle, and the counts are written; the two order statistics next to
+    each share are read off the running counts.
     """
     keys = keys or []
     values = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
-    counted = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_sums(counted, keys, "_v", ["_n"], many_groups)
+    counted = materialise(values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    ranked = running_sums(counted, keys, "_v", ["_n"])
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
-        ranked = ranked.join(totals if many_groups else few(totals), keys)
+        ranked = ranked.join(totals, keys)
     else:
         ranked = ranked.withColumn("_total", totals.scalar())
 
@@ -121,20 +123,13 @@ def exact_quantiles(
 
 def quantiles_per_key(
     df: DataFrame, column: str, shares: list[float], keys: list[str] | None = None,
-    method: str = "auto",
+    method: str = "exact",
 ) -> DataFrame:
-    """Quantiles as (keys, quantiles).
-
-    auto: integer columns (scores, counts, lengths) use the built-in `percentile`, whose buffer
-    grows with the distinct values; other columns use `exact_quantiles`. approx: a bounded sketch.
-    """
-    if method == "auto":
-        method = "builtin" if _is_integral(df, column) else "ranged"
-    if method == "ranged":
+    """Quantiles as (keys, quantiles): exact for any type and number of values, or approx, a bounded sketch."""
+    if method == "exact":
         return exact_quantiles(df, column, shares, keys)
-    function = F.percentile if method == "builtin" else F.percentile_approx
     probabilities = F.array(*[F.lit(float(s)) for s in shares])
-    quantiles = function(column, probabilities).cast("array<double>").alias("quantiles")
+    quantiles = F.percentile_approx(column, probabilities).cast("array<double>").alias("quantiles")
     return df.groupBy(*(keys or [])).agg(quantiles)
 
 
@@ -144,17 +139,18 @@ def hash_of(id_column: str, seed: int) -> Column:
 
 
 def hash_order_cuts(
-    df: DataFrame, key: str, id_column: str, seed: int, shares: list[float], many_groups: bool = False
+    df: DataFrame, key: str, id_column: str, seed: int, shares: list[float]
 ) -> DataFrame:
     """Per key, the hashed id at rank round(share * rows), as (key, cuts ARRAY<STRING>).
 
     A cut is null where the rank is 0. Counts per hash prefix find the prefix of each rank, so
     only rows of those prefixes are ordered.
     """
+    digits = _hash_digits(df.sparkSession)
     hashed = df.select(key, hash_of(id_column, seed).alias("_hash"))
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, HASH_DIGITS))
+    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, digits))
     per_prefix = hashed.groupBy(key, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    # at most 16 ** HASH_DIGITS rows per key
+    # at most 16 ** digits rows per key
     upto = Window.partitionBy(key).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(key)
     placed = per_prefix.select(
@@ -172,7 +168,7 @@ def hash_order_cuts(
             F.struct(F.col("_r.cut").alias("cut"), (F.col("_r.rank") - F.col("_upto") + F.col("_n")).alias("rank"))
         ).alias("_wanted")
     )
-    near = hashed.join(wanted if many_groups else few(wanted), [key, "_prefix"])
+    near = hashed.join(wanted, [key, "_prefix"])
     order = Window.partitionBy(key, "_prefix").orderBy("_hash")
     near = near.withColumn("_rank", F.row_number().over(order))
     hits = near.select(key, "_hash", "_rank", F.explode("_wanted").alias("_w"))

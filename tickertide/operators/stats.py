@@ -43,37 +43,29 @@ def community_sentiments(df: DataFrame) -> DataFrame:
     return both.groupBy("subreddit", "sentiment").agg(F.count(F.lit(1)).alias("count"))
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None, method: str = "auto") -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str] | None = None, method: str = "exact") -> DataFrame:
     """count, mean, sample std, min, q25, median, q75, max of the wanted columns that exist.
 
-    Everything but the quantiles comes from one global aggregate over all columns.
+    The columns become rows (column, value), so one aggregate and one quantile job serve all of them.
     """
     columns = existing(df, columns or DESCRIBE_COLUMNS)
-    integral = [c for c in columns if method == "auto" and df.schema[c].dataType.typeName() in ("byte", "short", "integer", "long")]
-    facts = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        facts += [
-            F.count(c).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-        ]
-        if c in integral:
-            shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-            facts.append(F.percentile(c, shares).alias(f"{c}__q"))
-    row = df.agg(*facts)
-    for c in columns:
-        if c not in integral:
-            row = row.withColumn(f"{c}__q", quantiles_per_key(df, c, [0.25, 0.5, 0.75], None, method).scalar())
-    per_column = [
-        F.struct(
-            F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
-            F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-            F.col(f"{c}__q")[0].alias("q25"), F.col(f"{c}__q")[1].alias("median"),
-            F.col(f"{c}__q")[2].alias("q75"), F.col(f"{c}__max").alias("max"),
-        )
-        for c in columns
-    ]
-    return row.select(F.inline(F.array(*per_column)))
+    if not columns:
+        raise ValueError("none of the columns exists")
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = df.select(F.inline(F.array(*cells)))
+    facts = long.groupBy("column").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    quantiles = quantiles_per_key(long, "value", [0.25, 0.5, 0.75], ["column"], method)
+    # a row for each column, also where the table is empty
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    joined = names.join(facts, "column", "left").join(quantiles, "column", "left")
+    q = F.col("quantiles")
+    return joined.select(
+        "column", F.coalesce("count", F.lit(0).cast("long")).alias("count"), "mean", "std", "min",
+        q[0].alias("q25"), q[1].alias("median"), q[2].alias("q75"), "max",
+    )
 
 
 def missing_values(df: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def keep_long_texts(df: DataFrame, min_words: int = 5) -> DataFrame:
     return df.filter(words >= min_words)
 
 
-def fence(df: DataFrame, column: str, width: float = 1.5, method: str = "auto") -> Column:
+def fence(df: DataFrame, column: str, width: float = 1.5, method: str = "exact") -> Column:
     """Condition: inside [Q1 - width * IQR, Q3 + width * IQR]; null is outside.
 
     The bounds are a scalar subquery: one row, computed once, no join.
@@ -69,7 +69,7 @@ def fence(df: DataFrame, column: str, width: float = 1.5, method: str = "auto")
     return (F.col(column) >= bounds["lower"]) & (F.col(column) <= bounds["upper"])
 
 
-def keep_within_fence(df: DataFrame, column: str, width: float = 1.5, method: str = "auto") -> DataFrame:
+def keep_within_fence(df: DataFrame, column: str, width: float = 1.5, method: str = "exact") -> DataFrame:
     """Tukey fence. With Q1 = Q3 only that value stays, as documented."""
     return df.filter(fence(df, column, width, method))
 

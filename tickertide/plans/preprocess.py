@@ -18,7 +18,7 @@ class Processed:
 
 def preprocess(
     raw: DataFrame, lemmas: DataFrame | None = None, min_words: int = MIN_CLEAN_WORDS,
-    method: str = "auto", on_constant: str = "drop", stopwords: list[str] | None = None,
+    method: str = "exact", on_constant: str = "drop", stopwords: list[str] | None = None,
 ) -> Processed:
     """Drop nulls and copies, clean, derive columns, drop short texts and outliers, encode.
 

@@ -6,7 +6,6 @@ LABEL_CODES = {"negative": 0, "neutral": 1, "positive": 2}
 LABEL_NAMES = ["negative", "neutral", "positive"]
 MODEL_NAMES = ["logistic_regression", "naive_bayes", "random_forest"]
 REQUEST_MODELS = ["best", "logistic_regression", "naive_bayes", "random_forest"]
-COMMUNITIES = ["stocks", "IndianStockMarket", "investing", "wallstreetbets"]
 POSTS_PER_COMMUNITY = 100
 COMMENTS_PER_POST = 25
 REMOVED_BODIES = ["[deleted]", "[removed]"]
@@ -36,6 +35,3 @@ REPORT_PLOTS = [
 
 # A lookup table up to this many rows is sent to every task; a larger one is joined instead.
 LOOKUP_ROWS = 20_000
-
-# Tables with a row per group (class, model, label) are broadcast up to this many rows.
-GROUP_ROWS = 100_000

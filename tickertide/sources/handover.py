@@ -24,9 +24,3 @@ def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer splits than cores is spread by key; a larger one stays as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

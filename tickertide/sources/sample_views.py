@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickertide.settings import MODEL_NAMES
-from tickertide.sources.handover import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,8 +19,6 @@ def _sentiment():
 def posts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as posts; score, comments, time and author from an event, sentiment from labels."""
     documents, events, labels = (table(spark, folder, t) for t in ("documents", "events", "labels"))
-    # the text work that follows should use every core
-    documents = spread(documents, "doc_id")
     joined = documents.join(
         events.withColumnRenamed("ts", "created_at"), F.col("event_id") == 5 * F.col("doc_id"), "left"
     ).join(labels, "doc_id", "left")
@@ -90,16 +87,17 @@ def predictions(spark: SparkSession, folder: str, right: int = 6) -> DataFrame:
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as requests, with texts at the limits for some ids."""
-    documents = table(spark, folder, "documents")
+    """Whole documents as requests, and a further request (negative id) with a text at the limits for each of some ids."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     kind = F.col("doc_id") % 13
     text = (
         F.when(kind == 1, F.substring("text", 1, 2)).when(kind == 2, F.lit("   "))
         .when(kind == 3, F.repeat(F.lit("a"), 5001)).when(kind == 4, F.repeat(F.lit("a"), 5000))
-        .otherwise(F.col("text"))
     )
+    limits = documents.filter(kind.between(1, 4)).select((-F.col("doc_id") - 1).alias("doc_id"), text.alias("text"))
+    documents = documents.unionByName(limits)
     names = F.array(*[F.lit(m) for m in ("best", "logistic_regression", "naive_bayes", "random_forest", "other")])
-    return documents.select(F.col("doc_id").alias("id"), text.alias("text"), F.get(names, (F.col("doc_id") % 5).cast("int")).alias("model"))
+    return documents.select(F.col("doc_id").alias("id"), "text", F.get(names, F.pmod("doc_id", F.lit(5)).cast("int")).alias("model"))
 
 
 def metric_events(spark: SparkSession, folder: str) -> DataFrame:

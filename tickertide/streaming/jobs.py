@@ -1,5 +1,7 @@
 """Streams over posts and metric events, with the same functions as the batch jobs."""
 
+from collections.abc import Callable
+
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +32,27 @@ def increased_windows(events: DataFrame, labels: list[str], length: str, slide:
 def scored_posts(
     posts: DataFrame, model: Model, model_name: str, weights: TermWeights, numeric: list[str], lemmas: DataFrame | None = None
 ) -> DataFrame:
-    """Classify posts as they arrive; dictionary and vocabulary are static."""
+    """Classify posts as they arrive; dictionary and vocabulary are static. For a large dictionary see append_scored."""
     return score_texts(posts, model, model_name, weights, numeric, lemmas)
 
 
+def append_scored(
+    posts: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = False,
+    every: str = "1 minute",
+) -> StreamingQuery:
+    """Score each batch of a stream with the batch function, so that dictionaries of any size work.
+
+    Each batch has a folder of its own: a repeated batch replaces its rows.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        score(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = posts.writeStream.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
+    return writer.foreachBatch(write).start()
+
+
 def append_to(
     stream: DataFrame, path: str, checkpoint: str, available_now: bool = False, every: str = "1 minute"
 ) -> StreamingQuery:
