@@ -6,9 +6,11 @@ from checks.model_queries import _tables, _trained
 from checks.registry import check, rounded, time_text, times_as_text
 from checks.views_sql import with_views
 from tickertide.operators import evaluate as E
+from tickertide.operators import ingest as I
+from tickertide.operators import lexicon as L
 from tickertide.operators import metrics as P
 from tickertide.operators import models as M
-from tickertide.settings import LATENCY_BOUNDS, STAGE_SECONDS_BOUNDS
+from tickertide.settings import COLLECT_SECONDS_BOUNDS, COMPOUND_BOUNDS, LATENCY_BOUNDS, STAGE_SECONDS_BOUNDS
 from tickertide.sources import sample_views as V
 from tickertide.sources.handover import new_path
 from tickertide.streaming import jobs
@@ -36,6 +38,44 @@ _totals("metric_rate_limit_total", "rate_limit_hit", ["subreddit"])
 _totals("metric_predictions_total", "prediction", ["model", "predicted_sentiment"])
 
 
+@check("metric_comments_total", with_views("SELECT subreddit, count(*) AS total FROM owned_comments GROUP BY subreddit", "owned_comments"))
+def comments_total(spark, folder):
+    owned = I.attach_comments(V.thread_comments(spark, folder), V.thread_posts(spark, folder))
+    return P.totals(owned.withColumn("kind", F.lit("comment_scraped")), "comment_scraped", ["subreddit"])
+
+
+@check(
+    "metric_sentiments_total",
+    with_views("SELECT subreddit, sentiment, count(*) AS total FROM posts WHERE sentiment IS NOT NULL GROUP BY ALL", "posts"),
+)
+def sentiments_total(spark, folder):
+    labelled = V.posts(spark, folder).filter(F.col("sentiment").isNotNull()).withColumn("kind", F.lit("post_labelled"))
+    return P.totals(labelled, "post_labelled", ["subreddit", "sentiment"])
+
+
+@check(
+    "metric_compound_histogram",
+    f"""
+SELECT event_type, CASE WHEN b.le = 'infinity'::DOUBLE THEN 1e9 ELSE b.le END AS le, count(*) FILTER (c <= b.le) AS n, count(*) AS total, round(sum(c), 6) AS sum
+FROM (SELECT event_type, (value - 50) / sqrt((value - 50) * (value - 50) + 15) AS c FROM events),
+     (VALUES {", ".join(f"({le}::DOUBLE)" for le in [*COMPOUND_BOUNDS, "'infinity'"])}) b(le) GROUP BY event_type, b.le""",
+)
+def compound_histogram(spark, folder):
+    scored = V.table(spark, folder, "events").select("event_type", L.compound_score(F.col("value") - 50).alias("c"))
+    return rounded(P.histogram(scored, "c", COMPOUND_BOUNDS, ["event_type"]).withColumn("le", F.least("le", F.lit(1e9))))
+
+
+@check(
+    "metric_collect_histogram",
+    f"""
+SELECT CASE WHEN b.le = 'infinity'::DOUBLE THEN 1e9 ELSE b.le END AS le, count(*) FILTER (value <= b.le) AS n, count(*) AS total, round(sum(value), 6) AS sum
+FROM events, (VALUES {", ".join(f"({le}::DOUBLE)" for le in [*COLLECT_SECONDS_BOUNDS, "'infinity'"])}) b(le) GROUP BY b.le""",
+)
+def collect_histogram(spark, folder):
+    runs = V.table(spark, folder, "events").select(F.col("value").alias("seconds"))
+    return rounded(P.histogram(runs, "seconds", COLLECT_SECONDS_BOUNDS, []).withColumn("le", F.least("le", F.lit(1e9))))
+
+
 @check(
     "metric_prediction_sentiments",
     with_views(
@@ -125,6 +165,34 @@ def sliding_increase(spark, folder):
     return times_as_text(P.sliding_increase(of_kind(spark, folder, "scrape_error"), ["subreddit"], "6 hours", "1 hour"))
 
 
+@check(
+    "metric_sliding_increase_minutes",
+    with_views(
+        f"""
+SELECT {time_text('w')} AS window_start, {time_text('w + INTERVAL 5 MINUTE')} AS window_end, subreddit, count(*) AS increase
+FROM (SELECT subreddit, date_trunc('minute', ts) - i * INTERVAL 1 MINUTE AS w FROM metric, range(0, 5) r(i) WHERE kind = 'scrape_error') GROUP BY w, subreddit""",
+        "metric",
+    ),
+)
+def sliding_increase_minutes(spark, folder):
+    """The documented five minutes, every minute."""
+    return times_as_text(P.sliding_increase(of_kind(spark, folder, "scrape_error"), ["subreddit"]))
+
+
+@check(
+    "metric_rate_minutes",
+    with_views(
+        f"""
+SELECT {time_text('w')} AS window_start, {time_text('w + INTERVAL 1 MINUTE')} AS window_end, subreddit, count(*) AS n, round(count(*) / 60::DOUBLE, 6) AS rate
+FROM (SELECT *, date_trunc('minute', ts) AS w FROM metric WHERE kind = 'api_request') GROUP BY w, subreddit""",
+        "metric",
+    ),
+)
+def rate_minutes(spark, folder):
+    """The documented one minute."""
+    return times_as_text(rounded(P.windowed_rate(of_kind(spark, folder, "api_request"), ["subreddit"])))
+
+
 @check("metric_latest_time", with_views(f"SELECT subreddit, {time_text('max(ts)')} AS last_ts FROM metric GROUP BY subreddit", "metric"))
 def latest_time(spark, folder):
     return times_as_text(P.latest_time(events(spark, folder)))

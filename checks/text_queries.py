@@ -9,6 +9,7 @@ from tickertide.functions.tickers import extract_tickers, has_ticker, ticker_lis
 from tickertide.functions.wordlists import NOISE_WORDS, NOT_TICKERS, STOPWORDS
 from tickertide.operators import ingest as I
 from tickertide.operators import lexicon as L
+from tickertide.operators import metrics as P
 from tickertide.operators import wrangle as W
 from tickertide.operators.lemmas import lemmatise, plural_lemmas
 from tickertide.sources import sample_views as V
@@ -133,6 +134,16 @@ def tickers_distinct(spark, folder):
     return I.distinct_tickers(I.add_tickers(V.noisy_posts(spark, folder)))
 
 
+@check(
+    "metric_tickers_total",
+    with_views(f"SELECT subreddit, CAST(coalesce(sum(len(t)), 0) AS BIGINT) AS total FROM (SELECT subreddit, {_TICKERS} AS t FROM noisy) GROUP BY subreddit", "noisy"),
+)
+def tickers_total(spark, folder):
+    """The counter grows by the number of tickers of each post."""
+    posts = V.noisy_posts(spark, folder).select("subreddit", F.size(extract_tickers("text")).alias("n"), F.lit("post_scraped").alias("kind"))
+    return P.summed_totals(posts, "post_scraped", ["subreddit"], "n")
+
+
 @check(
     "tickers_per_community",
     with_views(f"SELECT subreddit, count(*) AS mentions FROM (SELECT subreddit, unnest({_TICKERS}) AS t FROM noisy) GROUP BY subreddit", "noisy"),

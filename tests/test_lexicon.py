@@ -80,3 +80,14 @@ def test_any_number_of_marks_around_a_word(spark, marks):
     assert score(spark, "good" + "." * marks)[0] == compound(1.9)
     assert score(spark, "." * marks + "good")[0] == compound(1.9)
     assert score(spark, "not " + "," * marks + "good" + ";" * marks)[0] == compound(1.9 * -0.74)
+
+
+@pytest.mark.parametrize(
+    "text, total",
+    [
+        ("least good", 1.9 * -0.74), ("the least good", 1.9 * -0.74), ("at least good", 1.9), ("very least good", 1.9 + 0.293 * 0.95),
+        ("never so good", (1.9 + 0.293) * 1.5), ("never was this good", 1.9 * 1.25), ("never this good", 1.9 * 1.5), ("never good", 1.9 * -0.74),
+    ],
+)
+def test_least_and_never_so(spark, text, total):
+    assert score(spark, text)[0] == compound(total)

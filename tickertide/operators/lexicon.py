@@ -16,6 +16,7 @@ from tickertide.settings import LOOKUP_ROWS, NEGATIVE_TO, POSITIVE_FROM
 BOOST = 0.293
 CAPITALS = 0.733
 NEGATE = -0.74
+NEVER_SO = {2: 1.5, 3: 1.25}
 DAMPING = {1: 1.0, 2: 0.95, 3: 0.9}
 BUT_BEFORE, BUT_AFTER = 0.5, 1.5
 EXCLAMATION, EXCLAMATION_MAX = 0.292, 4
@@ -85,6 +86,9 @@ def _position_score(words: Column, lowers: Column, valences: Column, mixed: Colu
     shout = F.when(mixed & _is_capital(own, own_lower), F.signum(valence) * CAPITALS).otherwise(0.0)
     damping = F.create_map(*[F.lit(x) for pair in DAMPING.items() for x in pair])
 
+    def intense(back):
+        return F.coalesce(F.get(lowers, at - back).isin("so", "this"), F.lit(False))
+
     def apply(score, back):
         lower = F.get(lowers, at - back)
         boost = _boost(lower)
@@ -93,11 +97,18 @@ def _position_score(words: Column, lowers: Column, valences: Column, mixed: Colu
         push = F.when(boost != 0, F.when(score < 0, -1.0).otherwise(1.0) * (boost + louder)).otherwise(0.0)
         pushed = score + push * F.element_at(damping, back)
         negates = lower.isin(*NEGATIONS) | lower.contains("n't")
-        turned = F.when(negates, pushed * NEGATE).otherwise(pushed)
+        # "never so" and "never this" strengthen
+        follows = F.when(back == 2, intense(1)).when(back == 3, intense(2) | intense(1))
+        stronger = F.when(back == 2, NEVER_SO[2]).otherwise(NEVER_SO[3])
+        turned = F.when((lower == "never") & follows, pushed * stronger).when(negates, pushed * NEGATE).otherwise(pushed)
         return F.when((at >= back) & F.get(valences, at - back).isNull(), turned).otherwise(score)
 
     distances = F.array(*[F.lit(d) for d in DAMPING])
     scored = F.aggregate(distances, valence + shout, apply)
+    # "least" turns the word after it, but for "at least" and "very least"
+    least = (at > 0) & (F.get(lowers, at - 1) == "least") & F.get(valences, at - 1).isNull()
+    softened = (at > 1) & F.get(lowers, at - 2).isin("at", "very")
+    scored = let(scored, lambda s: F.when(F.coalesce(least & ~softened, F.lit(False)), s * NEGATE).otherwise(s))
     return F.when(_boost(own_lower) != 0, 0.0).otherwise(scored)
 
 

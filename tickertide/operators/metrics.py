@@ -5,6 +5,7 @@ The windowed functions take a batch or a stream.
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,11 @@ def totals(events: DataFrame, kind: str, labels: list[str]) -> DataFrame:
     return events.filter(F.col("kind") == kind).groupBy(*labels).agg(F.count(F.lit(1)).alias("total"))
 
 
+def summed_totals(events: DataFrame, kind: str, labels: list[str], amount: str) -> DataFrame:
+    """Counter value per label set where each event counts `amount`."""
+    return events.filter(F.col("kind") == kind).groupBy(*labels).agg(F.coalesce(F.sum(amount), F.lit(0)).alias("total"))
+
+
 def prediction_totals(events: DataFrame) -> DataFrame:
     """Predictions per predicted sentiment, one column each."""
     predictions = events.filter(F.col("kind") == "prediction")
@@ -70,7 +76,17 @@ def bucket_quantile(events: DataFrame, value: str, bounds: list[float], labels:
 def windowed_counts(
     events: DataFrame, labels: list[str], length: str, slide: str | None = None, watermark: str | None = None
 ) -> DataFrame:
-    """(window_start, window_end, labels, n); with a watermark also on a stream."""
+    """(window_start, window_end, labels, n); with a watermark also on a stream.
+
+    In a batch, overlapping windows are sums of counts per slide, so an event is not copied for each window.
+    """
+    if slide and not events.isStreaming and pd.Timedelta(length) % pd.Timedelta(slide) == pd.Timedelta(0):
+        each = events.groupBy(F.window("ts", slide).alias("_slide"), *labels).agg(F.count(F.lit(1)).alias("_n"))
+        starts = each.select(F.col("_slide.start").alias("_start"), *labels, "_n")
+        summed = starts.groupBy(F.window("_start", length, slide), *labels).agg(F.sum("_n").alias("n"))
+        return summed.select(
+            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *labels, "n"
+        )
     if watermark:
         events = events.withWatermark("ts", watermark)
     window = F.window("ts", length, slide) if slide else F.window("ts", length)

@@ -17,8 +17,10 @@ def drop_missing(df: DataFrame) -> DataFrame:
 
 
 def drop_copies(df: DataFrame, copies: str | None = None) -> DataFrame:
-    """One row per exact text: the earliest, then the smallest id."""
-    return first_per_key(df, ["text"], [c for c in ("created_at", "id") if c in df.columns], copies)
+    """One row per exact text: the earliest, then the smallest id. Texts are shuffled and sorted by their digest."""
+    order = [c for c in ("created_at", "id") if c in df.columns]
+    hashed = df.withColumn("_digest", F.sha2("text", 256))
+    return first_per_key(hashed, ["_digest"], order, copies).drop("_digest")
 
 
 def add_full_clean(
