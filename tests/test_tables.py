@@ -143,3 +143,19 @@ def test_chart_edges(spark):
 
 def test_missing_values(spark):
     assert [tuple(r) for r in S.missing_values(small_posts(spark)).collect()] == [("sentiment", 1)]
+
+
+def test_rejected_input_is_listed(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("id,score\n1,3\n2,x\n3,x\n4,NA\ny,5\n")
+    found = {tuple(r) for r in files.rejected_cells(spark, str(tmp_path / "csv"), _schema("id bigint, score bigint")).collect()}
+    assert found == {("score", "bigint", "x", 2), ("id", "bigint", "y", 1)}
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json" / "a.json").write_text('{"id": "a"}\n{"id": \nnot json\nnot json\n\n[1]\n')
+    assert {tuple(r) for r in files.rejected_lines(spark, str(tmp_path / "json")).collect()} == {('{"id": ', 1), ("not json", 2), ("[1]", 1)}
+
+
+def _schema(ddl):
+    from pyspark.sql.types import _parse_datatype_string
+
+    return _parse_datatype_string(ddl)

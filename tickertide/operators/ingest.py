@@ -9,6 +9,7 @@ from tickertide.operators.keyed import first_per_key, join_on_skewed_key, top_pe
 from tickertide.operators.lexicon import score_sentiment
 from tickertide.schemas import RAW_POST
 from tickertide.settings import COMMENTS_PER_POST, POSTS_PER_COMMUNITY, REMOVED_BODIES
+from tickertide.sources.handover import materialise
 
 
 def full_text(title="title", body="selftext") -> Column:
@@ -106,6 +107,13 @@ def top_comments(comments: DataFrame, k: int = COMMENTS_PER_POST) -> DataFrame:
     return top_per_key(comments, ["post_id"], [F.col("score").desc(), F.col("id")], k)
 
 
+def keep_top_comments(submissions: DataFrame, k: int = COMMENTS_PER_POST) -> DataFrame:
+    """The same for nested comments, inside each post's row: nothing is shuffled."""
+    ranked = F.array_sort(F.transform("comments", lambda c: F.struct(
+        c["score"].isNull().alias("unscored"), (-c["score"]).alias("down"), c["id"].alias("id"), c.alias("comment"))))
+    return submissions.withColumn("comments", F.transform(F.slice(ranked, 1, k), lambda x: x["comment"]))
+
+
 def latest_posts(posts: DataFrame, k: int = POSTS_PER_COMMUNITY, time: str = "created_at") -> DataFrame:
     return top_per_key(posts, ["subreddit"], [F.col(time).desc(), F.col("id")], k)
 
@@ -159,8 +167,9 @@ def enrich(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 def collect_posts(submissions: DataFrame, lexicon: DataFrame) -> DataFrame:
     """The collection job: latest posts, their top comments, one enriched row per id."""
-    latest = latest_posts(submissions, time="created_utc")
-    comments = top_comments(flatten_comments(latest))
+    # written, because posts and comments are both taken from it
+    latest = materialise(keep_top_comments(latest_posts(submissions, time="created_utc")), "latest-posts")
+    comments = flatten_comments(latest)
     rows = union_posts(project_submissions(latest), project_comments(comments))
     # ids first: text work is done once per kept row
     return enrich(first_of_each_id(rows), lexicon)

@@ -19,13 +19,32 @@ def _require(spark: SparkSession, path: str, hint: str) -> None:
         raise FileNotFoundError(f"no data at {path}; {hint}")
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_POST) -> DataFrame:
-    """Raw posts from CSV with quoted line breaks. Such files cannot be split: land them as parquet."""
+def _csv_cells(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The cells as text, missing ones as null."""
     _require(spark, path, "collect posts first")
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     table = spark.read.schema(as_text).csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
-    cell = {f.name: F.when(~F.col(f.name).isin(*MISSING_CELLS), F.col(f.name)) for f in schema}
-    return table.select(*[cell[f.name].try_cast(f.dataType).alias(f.name) for f in schema])
+    return table.select(*[F.when(~F.col(f.name).isin(*MISSING_CELLS), F.col(f.name)).alias(f.name) for f in schema])
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_POST) -> DataFrame:
+    """Raw posts from CSV with quoted line breaks. Such files cannot be split: land them as parquet.
+
+    A cell that does not fit its type is null; rejected_cells lists these.
+    """
+    cells = _csv_cells(spark, path, schema)
+    return cells.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def rejected_cells(spark: SparkSession, path: str, schema: T.StructType = RAW_POST) -> DataFrame:
+    """(column, wanted, cell, n): cells that read_raw_csv turns into null because they do not fit their type."""
+    bad = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.struct(
+            F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("wanted"), F.col(f.name).alias("cell")))
+        for f in schema
+    ]
+    rows = _csv_cells(spark, path, schema).select(F.inline(F.array_compact(F.array(*bad))))
+    return rows.groupBy("column", "wanted", "cell").agg(F.count(F.lit(1)).alias("n"))
 
 
 def write_raw(posts: DataFrame, path: str) -> None:
@@ -62,6 +81,13 @@ def read_comments(spark: SparkSession, path: str, stream: bool = False) -> DataF
     return reader.schema(COMMENT_JSON).json(path)
 
 
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, n): landed lines that are no JSON object; read_submissions and read_comments read them as empty rows."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    fits = F.coalesce(F.try_parse_json("value").isNotNull() & F.ltrim("value").startswith("{"), F.lit(False))
+    return lines.filter(~fits).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """`report` is one row with one JSON text column."""
     report.coalesce(1).write.mode("overwrite").text(path)
