@@ -38,7 +38,7 @@ from tickertide.llm.common import map_rows, mix, others, small_batches, text_key
 from tickertide.sources.handover import materialise
 
 LENGTH, GRAM = 200, 24
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 #: More kinds of contexts at one anchor than this are dealt out by windows.
 MOST_KINDS = 10_000
 MADE = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, clean_text string"
@@ -136,8 +136,8 @@ class Queues:
         counts = np.bincount(text)
         self.ends = np.cumsum(counts)
         self.starts = self.ends - counts
-        self.file = tempfile.TemporaryFile() if on_disk else None
-        self.order = np.memmap(self.file, dtype=np.int32, shape=len(text), mode="w+") if on_disk else np.empty(len(text), dtype=np.int32)
+        # the file has no name and goes with its mapping
+        self.order = np.memmap(tempfile.TemporaryFile(), dtype=np.int32, shape=len(text), mode="w+") if on_disk else np.empty(len(text), dtype=np.int32)
 
     def _push(self, suffixes: np.ndarray, heads: np.ndarray, sign: int) -> None:
         """Append suffixes to the queues of their first symbols, in their order, at the front or (sign -1) the back."""
@@ -187,11 +187,6 @@ class Queues:
                 self._push(self._induced(np.array(self.order[self.starts[c] : heads[c]])[::-1], True), tails, -1)
         return self.order
 
-    def close(self) -> None:
-        self.order = None
-        if self.file is not None:
-            self.file.close()
-
 
 def _name_order(names: np.ndarray, depth: int) -> np.ndarray:
     """Order of the suffixes of a string of names, as far as their first `depth` names (ties as they come)."""
@@ -225,9 +220,9 @@ def suffix_order(text: np.ndarray, depth: int, on_disk: bool = False) -> np.ndar
         # equal substrings from one turn to the next get equal names
         size = np.zeros(len(text), dtype=np.int32)
         size[turns] = np.diff(np.concatenate([turns, [len(text) - 1]])) + 1
-        prefix = _prefix_hashes(text)
+        hashes = StretchHashes(text)
         length = size[ordered].astype(np.int64)
-        value = prefix.of(ordered.astype(np.int64), length)
+        value = hashes.of(ordered.astype(np.int64), length)
         fresh = (value[1:] != value[:-1]) | (length[1:] != length[:-1])
         name_at = np.zeros(len(text), dtype=np.int32)
         name_at[ordered] = np.concatenate([[0], np.cumsum(fresh)])
@@ -241,7 +236,7 @@ def suffix_order(text: np.ndarray, depth: int, on_disk: bool = False) -> np.ndar
     return queues.induce(seeds[np.argsort(text[seeds], kind="stable")])
 
 
-class _prefix_hashes:  # noqa: N801
+class StretchHashes:
     """Hashes of any stretch of a text, modulo 2 ** 64 and mixed."""
 
     def __init__(self, text: np.ndarray):
@@ -299,40 +294,43 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1) - 1
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, text) with the text compressed, for the shuffle."""
+def packed(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """doc_id, the columns of keep, _key (the text's hash) and _packed, the text compressed for the shuffle."""
 
     def work(given):
         compressor = zstandard.ZstdCompressor(level=1)
-        return {"text": [None if t is None else compressor.compress(t) for t in given["_text"]]}
+        return {"_packed": [None if t is None else compressor.compress(t) for t in given["_text"]]}
 
-    rows = docs.select("doc_id", text_key().alias("key"), F.col("text").cast("string").alias("_text"))
-    return map_rows(rows, "text binary", work, {"_text": "bytes"}, ["doc_id", "key"])
+    more = [F.col(f"`{c}`") for c in keep if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", *more, text_key().alias("_key"), F.col("text").cast("string").alias("_text"))
+    return map_rows(rows, "_packed binary", work, {"_text": "bytes"}, [c for c in rows.columns if c != "_text"])
 
 
 def _unpack(text: bytes | None) -> bytes:
     return b"" if text is None else zstandard.ZstdDecompressor().decompress(text)
 
 
-def _same(left_id: str, left_key: str):
-    return F.col("doc_id").eqNullSafe(F.col(left_id)) & F.col("key").eqNullSafe(F.col(left_key))
+def same_document():
+    """A packed document and what was found for it, as (_doc, _found)."""
+    return F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("_key").eqNullSafe(F.col("_found"))
 
 
 def context_texts(docs: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
     """kinds (anchor, n, doc_id, key, first, last) with the bytes of their contexts, cut from the documents."""
-    wanted = kinds.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(
+    wanted = kinds.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_found")).agg(
         F.collect_list(F.struct("anchor", "n", "first", "last")).alias("cuts"))
-    both = packed(docs).join(wanted, _same("_doc", "_key")).dropDuplicates(["doc_id", "key"])
+    # contexts of repeated rows come twice; they occur more than once anyway, so none of their windows is reported
+    both = packed(docs, []).join(wanted, same_document())
 
     def work(given):
         out = []
-        for text, cuts in zip(given["text"], given["cuts"], strict=True):
+        for text, cuts in zip(given["_packed"], given["cuts"], strict=True):
             whole = _unpack(text)
             out.append([{**c, "bytes": whole[c["first"] : c["last"] + length]} for c in cuts])
         return {"found": out}
 
-    found = map_rows(both, "found array<struct<anchor: long, n: long, first: int, last: int, bytes: binary>>", work, {"text": "as is", "cuts": "as is"}, ["doc_id", "key"])
-    return found.select("doc_id", "key", F.inline("found"))
+    found = map_rows(both, "found array<struct<anchor: long, n: long, first: int, last: int, bytes: binary>>", work, {"_packed": "as is", "cuts": "as is"}, ["doc_id", "_key"])
+    return found.select("doc_id", F.col("_key").alias("key"), F.inline("found"))
 
 
 def sorted_shards(cut: DataFrame, length: int, shard_bytes: int) -> DataFrame:
@@ -420,7 +418,7 @@ def remove_repeats(
     names = [f.split(" ")[0] for f in MADE.split(", ")]
     handed = [c for c in others(docs, names) if keep is None or c in keep]
     spans = repeated_spans(docs, length, shard_bytes, most_kinds)
-    per_doc = spans.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
+    per_doc = spans.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_found")).agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
 
     def work(given):
         out = {n: [] for n in names}
@@ -442,17 +440,13 @@ def remove_repeats(
                 out[name].append(value)
         return out
 
-    slim = [c for c in handed if c not in ("text", "doc_id")]
-    rows = docs.select("doc_id", *[F.col(f"`{c}`") for c in slim], "text").withColumn("_key2", text_key())
-    compressed = map_rows(rows.withColumn("_text", F.col("text").cast("string")), "_packed binary", _pack, {"_text": "bytes"}, ["doc_id", *slim, "_key2"])
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("_key2").eqNullSafe(F.col("_key"))
-    both = compressed.join(per_doc, same, "left")
-    done = map_rows(both, MADE, work, {"_packed": "as is", "_spans": "as is"}, handed + (["_packed"] if "text" in handed else []))
-    if "text" in handed:
-        done = map_rows(done, "text string", lambda g: {"text": [None if t is None else _unpack(t).decode("utf-8", "replace") for t in g["_packed"]]}, {"_packed": "as is"}, [c for c in done.columns if c != "_packed"])
-    return done
+    both = packed(docs, handed).join(per_doc, same_document(), "left")
+    whole_text = "text" in handed
+    done = map_rows(both, MADE, work, {"_packed": "as is", "_spans": "as is"}, handed + ["_packed"] * whole_text)
+    if not whole_text:
+        return done
 
+    def unpack(given):
+        return {"text": [None if t is None else _unpack(t).decode("utf-8", "replace") for t in given["_packed"]]}
 
-def _pack(given):
-    compressor = zstandard.ZstdCompressor(level=1)
-    return {"_packed": [None if t is None else compressor.compress(t) for t in given["_text"]]}
+    return map_rows(done, "text string", unpack, {"_packed": "as is"}, [c for c in done.columns if c != "_packed"])
