@@ -382,7 +382,7 @@ def counted_windows(cut: DataFrame, length: int) -> DataFrame:
         return {"windows": out}
 
     each = map_rows(cut, "windows array<struct<place: int, high: long, low: long>>", work, {"bytes": "as is", "first": "as is"}, ["doc_id", "key", "n"])
-    each = materialise(each.select("doc_id", "key", "n", F.inline("windows")), "suffix-windows")
+    each = each.select("doc_id", "key", "n", F.inline("windows"))
     again = each.groupBy("high", "low").agg(F.count("*").alias("times")).filter("times > 1").drop("times")
     return each.filter("n = 1").join(again, ["high", "low"]).select("doc_id", "key", F.col("place").alias("first"), F.col("place").alias("last"))
 
@@ -396,15 +396,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     kinds = materialise(kinds.select("anchor", "kind", "n", "at.*"), "suffix-kinds")
     whole = shared.join(kinds.filter("n > 1").select("anchor", "kind"), ["anchor", "kind"]).select("doc_id", "key", "first", "last")
     number = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    several = kinds.join(number, "anchor").select("anchor", "n", "doc_id", "key", "first", "last")
-    cut = context_texts(docs, several, length)
-    hot = materialise(number.filter(F.col("kinds") > most_kinds).select("anchor"), "suffix-hot")
-    if hot.isEmpty():
-        parts = sorted_shards(cut, length, shard_bytes)
-    else:
-        cut = materialise(cut, "suffix-contexts")
-        parts = sorted_shards(cut.join(hot, "anchor", "left_anti"), length, shard_bytes).unionByName(counted_windows(cut.join(hot, "anchor", "left_semi"), length))
-    return whole.unionByName(parts)
+    several = kinds.join(number, "anchor").select("anchor", "n", "doc_id", "key", "first", "last", "kinds")
+    # both ways are parts of one plan, so that the texts are shuffled once for both and for the caller
+    usual = context_texts(docs, several.filter(F.col("kinds") <= most_kinds), length)
+    crowded = context_texts(docs, several.filter(F.col("kinds") > most_kinds), length)
+    return whole.unionByName(sorted_shards(usual, length, shard_bytes)).unionByName(counted_windows(crowded, length))
 
 
 def remove_repeats(
