@@ -70,14 +70,14 @@ def hourly_sentiment(df: DataFrame) -> DataFrame:
     return _pivot(df.withColumn("hour", F.hour("created_at")), "hour")
 
 
-def score_distribution(df: DataFrame, method: str = "auto") -> DataFrame:
+def score_distribution(df: DataFrame, method: str = "exact") -> DataFrame:
     """Score quantiles in steps of 5 percent per sentiment (violin)."""
     found = quantiles_per_key(_labelled(df), "score", VIOLIN_SHARES, ["sentiment"], method)
     pairs = F.arrays_zip(F.array(*[F.lit(s) for s in VIOLIN_SHARES]).alias("share"), F.col("quantiles").alias("score"))
     return found.select("sentiment", F.inline(pairs).alias("share", "score"))
 
 
-def comment_box(df: DataFrame, method: str = "auto") -> DataFrame:
+def comment_box(df: DataFrame, method: str = "exact") -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 IQR, and outliers of num_comments."""
     posts = _labelled(df).filter(F.col("num_comments").isNotNull())
     quartiles = quantiles_per_key(posts, "num_comments", [0.25, 0.5, 0.75], ["sentiment"], method)

@@ -128,6 +128,8 @@ def quantiles_per_key(
     """Quantiles as (keys, quantiles): exact for any type and number of values, or approx, a bounded sketch."""
     if method == "exact":
         return exact_quantiles(df, column, shares, keys)
+    if method != "approx":
+        raise ValueError(f"unknown method {method!r}, choose exact or approx")
     probabilities = F.array(*[F.lit(float(s)) for s in shares])
     quantiles = F.percentile_approx(column, probabilities).cast("array<double>").alias("quantiles")
     return df.groupBy(*(keys or [])).agg(quantiles)
