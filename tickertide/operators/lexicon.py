@@ -25,7 +25,9 @@ NORMALISER = 15.0
 
 # The class comes first, so that the scan stops only at punctuation.
 MARK = r"[!-/:-@\[-`{-~]"
-OUTER_PUNCTUATION = rf"(?U)^{MARK}+(?=\w\w)|(?<=\w\w){MARK}+$"
+OUTER_PUNCTUATION = (
+    rf"(?U){MARK}(?<=\w\w{MARK}){MARK}*(?!\S)|{MARK}(?<=(?:\s|^){MARK}){MARK}*(?=\w\w)"
+)
 
 
 def seed_lexicon(spark) -> DataFrame:
@@ -34,9 +36,8 @@ def seed_lexicon(spark) -> DataFrame:
 
 def sentiment_words(text) -> Column:
     """White-space words without outer punctuation; marks such as :) or :D stay as they are."""
-    words = split_words(F.coalesce(_col(text), F.lit("")))
-    bare = F.transform(words, lambda w: F.regexp_replace(w, OUTER_PUNCTUATION, ""))
-    return F.filter(bare, lambda w: F.length(w) > 1)
+    bare = F.regexp_replace(F.coalesce(_col(text), F.lit("")), OUTER_PUNCTUATION, "")
+    return F.filter(split_words(bare), lambda w: F.length(w) > 1)
 
 
 def compound_score(total) -> Column:
