@@ -51,6 +51,34 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert not strict["kept"]
 
 
+def page(i, n=60):
+    """Words that no other page has."""
+    return " ".join(f"w{chr(97 + k % 26)}{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100]}{'q' * (k // 26)}" for k in range(n))
+
+
+def test_shared_passages_of_several_lines_go(spark):
+    header, footer = "our shop\nhome news contact", "all rights are ours\nwrite to us at any time\nand read the terms"
+    menu = "first entry\nsecond entry"
+    rows = [(i, f"{header}\n{page(i)}\n{menu}\n{page(100 + i)}\n{footer}", "a") for i in range(60)]
+    rows += [(200 + i, f"{header}\n{page(i)}\n{footer}", "b") for i in range(50)]
+    found = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(found[i]["clean_text"] == f"{page(i)}\n{page(100 + i)}" and found[i]["removed_words"] == 23 and found[i]["kept"] for i in range(60))
+    assert all(found[200 + i]["removed_words"] == 0 for i in range(50))
+
+
+def test_a_footer_goes_where_copies_prevail(spark):
+    def copy(i):
+        words = page(900, 120).split()
+        words[20 + i % 90] = "changed" + "z" * (i // 90)
+        return " ".join(words[:60]) + "\n" + " ".join(words[60:]) + "\nthe same last line"
+
+    rows = [(i, copy(i) + "\nread the terms of this host", "a") for i in range(400)]
+    rows += [(1000 + i, page(i) + "\nread the terms of this host", "a") for i in range(60)]
+    found = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(found[i]["clean_text"] == copy(i) and found[i]["kept"] for i in range(400))
+    assert all(found[1000 + i]["clean_text"] == page(i) and found[1000 + i]["removed_words"] == 6 for i in range(60))
+
+
 # --- licenses ---
 
 

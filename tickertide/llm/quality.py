@@ -1,15 +1,18 @@
 """Quality rules: counts per text, and lines that many documents of a host share.
 
 Lines are normalised (lower case, single blanks, runs of digits as 0) and hashed. Per host (the source column),
-the distinct texts that hold a line are counted, and its distinct surroundings: the lines before it
-or the lines after it, whichever are fewer (at an edge of a text, the one neighbour counts for both). A
-line is boilerplate if it has more than `most_surroundings` of them and at least half as
-many as it has texts: a line that always stands between the same neighbours belongs to copies of one
-document, which are another operator's task. Boilerplate lines are removed, and a document that keeps
-less than `least_kept` of its words is depleted and rejected. All of it is DataFrame functions.
+the documents that hold a line are counted, near-copies of one another as one, as they are another operator's
+task. A line in more than `most_surroundings` of them is boilerplate, wherever it stands and whatever is next to it.
+Boilerplate lines are removed, and a document that keeps less than `least_kept` of its words is depleted and
+rejected. All of it is DataFrame functions.
 
-Only lines seen more than `most_surroundings` times are looked at in detail. Joins on lines are salted,
-so that a line in a third of all documents is spread over tasks.
+Near-copies are texts whose estimated similarity (Jaccard, sets of five words) is at least ALIKE, and what such
+pairs connect. The estimate compares the smallest hash in each of 64 ranges; texts that agree in four
+neighbouring ranges (a band) are compared with the smallest and the largest text hash of that bucket. A pair
+at similarity 0.8 shares no band with probability 2e-4. Texts of under five words are no near-copies.
+
+Only lines seen more than `most_surroundings` times, and the texts that hold them, are looked at in detail. Joins
+on lines are salted, so that a line in a third of all documents is spread over tasks.
 
 Nulls: a null text has no words and fails; a null source is a host of its own. Empty texts fail.
 Repeated rows count once and share their verdict. Empty tables work. Columns of the input with the
@@ -21,11 +24,15 @@ from pyspark.sql import functions as F
 
 from tickertide.functions.text import let
 from tickertide.llm.common import PLAIN_GAP, others, plain_words, text_key
+from tickertide.llm.components import components
 from tickertide.sources.handover import materialise
 
 MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_words", "removed_lines", "kept", "clean_text"]
 SALTS = 16
 WINDOW = 5
+#: Of a hash, the bits that name its range and its band; 64 ranges in 16 bands.
+RANGE_SHIFT, BAND_SHIFT = 58, 60
+ALIKE = 0.7
 
 
 def _covered(positions: Column) -> Column:
@@ -49,10 +56,15 @@ def _repeated(grams: Column) -> Column:
     return let(let(pairs, starts), _covered)
 
 
+def _grams(words: Column) -> Column:
+    """Hashes of the windows of five words."""
+    places = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))
+
+
 def n_repeat_words(words: Column) -> Column:
     """Of an array of words that is evaluated once (a lambda's variable)."""
-    places = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW)).otherwise(F.array().cast("array<int>"))
-    grams = F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))
+    grams = _grams(words)
     # most texts repeat nothing: a set of the hashes shows that without sorting
     return let(grams, lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(_repeated(g)))
 
@@ -79,28 +91,60 @@ def _salted(small: DataFrame) -> DataFrame:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: host, line (hash), doc_id, text (hash), place, words, before, after (hashes), salt."""
+    """One row per line with a word: host, doc_id, text (hash), place, line (hash), words, salt."""
     normal = lambda s: F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), "[0-9]+", "0"), PLAIN_GAP, " "))
     parts = F.transform(F.split(F.col("text"), "\n"), lambda s, i: F.struct(
         i.alias("place"), F.xxhash64(normal(s)).alias("line"), F.size(plain_words(s)).alias("words")))
     full = F.filter(parts, lambda p: p["words"] > 0)
-    placed = let(full, lambda a: F.transform(a, lambda p, k: F.struct(
-        p["place"].alias("place"), p["line"].alias("line"), p["words"].alias("words"),
-        F.coalesce(F.get(a, k - 1)["line"], F.get(a, k + 1)["line"], F.lit(0)).alias("before"),
-        F.coalesce(F.get(a, k + 1)["line"], F.get(a, k - 1)["line"], F.lit(0)).alias("after"))))
     rows = docs.filter(F.col("text").isNotNull()).select(
-        _host(F.col("source")).alias("host"), "doc_id", text_key().alias("text"), F.inline(placed))
+        _host(F.col("source")).alias("host"), "doc_id", text_key().alias("text"), F.inline(full))
     return rows.withColumn("salt", F.pmod(F.col("text"), F.lit(SALTS)).cast("int"))
 
 
+def _range(h: Column) -> Column:
+    return F.shiftright(h, RANGE_SHIFT)
+
+
+def sketch(text: Column) -> Column:
+    """The smallest hash of five words in each range of hashes that has one, in ascending order."""
+
+    def smallest(hashes):
+        return F.filter(hashes, lambda h, k: F.coalesce(_range(F.get(hashes, k - 1)) != _range(h), F.lit(True)))
+
+    return let(let(plain_words(text), lambda w: F.sort_array(_grams(w))), smallest)
+
+
+def _similarity(a: Column, b: Column) -> Column:
+    ranges = F.array_union(F.transform(a, _range), F.transform(b, _range))
+    return F.size(F.array_intersect(a, b)) / F.size(ranges)
+
+
+def near_copies(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, label) for those of `texts` (hashes) that have near-copies among them; label names the class."""
+    keyed = docs.filter(F.col("text").isNotNull()).select(text_key().alias("node"), sketch(F.col("text")).alias("sketch"))
+    held = keyed.join(texts.select(F.col("text").alias("node")), "node", "left_semi").dropDuplicates(["node"])
+    held = materialise(held.filter(F.size("sketch") > 0), "quality-sketches")
+    bands = F.transform(F.sequence(F.lit(-8), F.lit(7)), lambda b: F.filter("sketch", lambda h: F.shiftright(h, BAND_SHIFT) == b))
+    in_bands = held.select("node", F.explode(F.filter(bands, lambda b: F.size(b) > 0)).alias("band")).select("node", F.xxhash64("band").alias("bucket"))
+    ends = in_bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    pairs = in_bands.join(ends, "bucket").select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")).filter("a <> b").distinct()
+    one, other = (held.select(F.col("node").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
+    alike = pairs.join(one, "a").join(other, "b").filter(_similarity(F.col("sketch_a"), F.col("sketch_b")) >= ALIKE)
+    return components(alike.select("a", "b"))
+
+
 def removed_lines(docs: DataFrame, most_surroundings: int = 50) -> DataFrame:
     """(doc_id, text hash, removed_words, places) of documents with boilerplate lines."""
     lines = lines_of(docs)
     often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most_surroundings).drop("n")
     seen = materialise(lines.join(_salted(often), ["host", "line", "salt"]), "quality-lines")
-    counts = seen.groupBy("host", "line").agg(*[F.count_distinct(c).alias(c) for c in ("text", "before", "after")])
-    counts = counts.select("host", "line", F.col("text").alias("texts"), F.least("before", "after").alias("around"))
-    boiler = counts.filter((F.col("around") > most_surroundings) & (2 * F.col("around") >= F.col("texts"))).select("host", "line")
+    holders = seen.select("host", "line", "text").distinct()
+    # only lines in enough texts can be in enough classes
+    wide = holders.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most_surroundings).drop("n")
+    holders = materialise(holders.withColumn("salt", F.pmod(F.col("text"), F.lit(SALTS)).cast("int")).join(_salted(wide), ["host", "line", "salt"]).drop("salt"), "quality-holders")
+    classes = near_copies(docs, holders.select("text").distinct())
+    named = holders.join(classes, F.col("text") == F.col("node"), "left").select("host", "line", F.coalesce("label", "text").alias("class")).distinct()
+    boiler = named.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most_surroundings).drop("n")
     hits = seen.join(_salted(boiler), ["host", "line", "salt"]).select("doc_id", "text", "place", "words").distinct()
     return hits.groupBy("doc_id", "text").agg(F.sum("words").cast("long").alias("removed_words"), F.collect_list("place").alias("removed_lines"))
 
