@@ -76,6 +76,17 @@ def test_join_equals_all_pairs(spark, monkeypatch, block):
     assert found == plain_join(rows)
 
 
+def test_links_count_once_beside_an_empty_block(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 20)  # pairs of texts get four blocks, so that most are empty
+    rng = random.Random(8)
+    rows = []
+    for k in range(0, 60, 2):
+        words = [f"w{rng.randrange(10_000)}" for _ in range(40)]
+        rows += [(k, " ".join(words)), (k + 1, " ".join([*words[:-1], "other"]))]
+    found = sorted((str(r["doc_id"]), str(r["class_id"]), r["n_links"]) for r in near_dup.join_near(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == plain_join(rows)
+
+
 def test_one_of_each_class_stays(spark):
     rows = made_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit(1)).withColumn("_doc2", F.lit("k"))

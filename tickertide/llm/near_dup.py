@@ -136,10 +136,9 @@ class Roots:
         self.up[max(a, b)] = min(a, b)
 
 
-def surviving(signatures: np.ndarray, block: np.ndarray, least: dict[int, int]) -> Roots:
-    """Spanning links among the members whose pairs stay; pairs of one block only meet in groups of one block."""
+def surviving(signatures: np.ndarray, block: np.ndarray, mixed: bool, least: dict[int, int]) -> Roots:
+    """Spanning links among the members whose pairs stay; in a group of two blocks (mixed, also if one is empty) pairs of one block do not meet."""
     n, roots = len(signatures), Roots(len(signatures))
-    mixed = bool((block != block[0]).any())
     for i in range(n - 1):
         rest = np.arange(i + 1, n)
         if mixed:
@@ -198,7 +197,7 @@ def candidate_links(reps: DataFrame, threshold: float, tolerance: float) -> Data
             if len(group) < 2:
                 continue
             signatures = np.frombuffer(b"".join(r[6] for r in group), dtype=np.uint16).reshape(len(group), HASHES)
-            roots = surviving(signatures, np.array([r[4] for r in group]), least)
+            roots = surviving(signatures, np.array([r[4] for r in group]), group[0][2] != group[0][3], least)
             for k in range(len(group)):
                 if (root := roots.find(k)) != k:
                     yield group[root][5], group[k][5]
@@ -206,8 +205,8 @@ def candidate_links(reps: DataFrame, threshold: float, tolerance: float) -> Data
     return dealt.mapInArrow(lambda batches: _emitted(links(batches), schema), "a long, b long").distinct()
 
 
-def verified(sets: list[np.ndarray], block: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs reach the threshold, from exact intersections of whole sets (matrix, both halves)."""
+def verified(sets: list[np.ndarray], block: np.ndarray, mixed: bool, threshold: float) -> np.ndarray:
+    """Which pairs reach the threshold, from exact intersections of whole sets (matrix, both halves); mixed as in surviving()."""
     m, sizes = len(sets), np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(m), sizes)
     values, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -228,7 +227,7 @@ def verified(sets: list[np.ndarray], block: np.ndarray, threshold: float) -> np.
     union = sizes[:, None] + sizes[None, :] - both
     linked = both * limit.denominator >= union * limit.numerator
     np.fill_diagonal(linked, False)
-    if (block != block[0]).any():
+    if mixed:
         linked &= block[:, None] != block[None, :]
     return linked
 
@@ -254,7 +253,7 @@ def verified_links(docs: DataFrame, clusters: DataFrame, classes: DataFrame, thr
         for group in _groups(batches, 3):
             if len(group) < 2:
                 continue
-            linked = verified([np.frombuffer(r[6], dtype=np.uint64) for r in group], np.array([r[3] for r in group]), threshold)
+            linked = verified([np.frombuffer(r[6], dtype=np.uint64) for r in group], np.array([r[3] for r in group]), group[0][1] != group[0][2], threshold)
             counts = linked @ np.array([r[5] for r in group])
             roots = Roots(len(group))
             for k in range(len(group)):
