@@ -164,3 +164,29 @@ def test_best_model_ties(spark):
     rows = [("b", 0.8, 0.7, 0.8, 0.75), ("a", 0.8, 0.7, 0.8, 0.75), ("c", 0.7, 0.9, 0.8, 0.75)]
     comparison = spark.createDataFrame(rows, "model_name string, accuracy double, precision double, recall double, f1_score double")
     assert E.best_model(comparison).first()["model_name"] == "a"
+
+
+def test_tuning_queries_search_the_documented_grids(spark, tables, monkeypatch):
+    from checks import QUERIES, model_queries
+
+    searched = {}
+
+    def tune(name, train, space=None, estimator=None, **_):
+        points = space or M.grid(name, estimator, train.count())
+        searched[name] = points
+        params = [(name, str({p.name: v for p, v in point.items()}), 0.5, i == 0) for i, point in enumerate(points)]
+        quick = M.base_models(train.count())["naive_bayes"].fit(train)
+        return quick, spark.createDataFrame(params, "model_name string, params string, mean_f1 double, is_best boolean")
+
+    monkeypatch.setattr(M, "tune", tune)
+    monkeypatch.setattr(model_queries, "_tables", lambda spark, folder: tables)
+    model_queries._tuned.cache_clear()
+    try:
+        table = QUERIES["model_search_table"](spark, "made").groupBy("model_name").count().collect()
+        compared = QUERIES["model_tuned_comparison"](spark, "made").collect()
+    finally:
+        model_queries._tuned.cache_clear()
+    assert {r["model_name"]: r["count"] for r in table} == {"logistic_regression": 10, "naive_bayes": 6, "random_forest": 30}
+    assert {p[e] for p in searched["logistic_regression"] for e in p if e.name == "maxIter"} == {500, 1000}
+    assert {p[e] for p in searched["random_forest"] for e in p if e.name == "numTrees"} == {100, 200, 300}
+    assert {r["model_name"] for r in compared} == set(searched) and all(0 <= r["f1_score"] <= 1 for r in compared)
