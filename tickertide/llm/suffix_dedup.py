@@ -10,9 +10,10 @@ these strings without sorting what cannot repeat:
 2. Suffix sorting. One context of each kind, of anchors with several kinds, goes to shards. A shard is
    one string, sorted by induction: suffixes that are smaller than both neighbours are sorted first (their
    substrings by induction, then the string of their names, the recursion), and induce all others.
-   The queues of suffixes, one for each first byte, lie one after the other in a file that is mapped into
-   memory, so a shard may be larger than memory. Neighbours in the result are compared up to
-   `length` bytes; where they agree, both windows repeat.
+   The suffixes with one first byte lie in one stretch of an order that is a file mapped into memory; stretches
+   are filled by sorting arrays, they are no priority queues. All else (text, types, hashes, window starts) is
+   held in memory, so shards are of bounded size and must fit there. Neighbours in the result are compared up
+   to `length` bytes; where they agree, both windows repeat.
 3. Anchors with more kinds of contexts than a shard takes are dealt out window by window instead, by
    128-bit hashes of whole windows; their counts are combined before the shuffle.
 
