@@ -5,7 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickertide.llm import chat, decontam, language_id, licenses, mixing, near_dup, pii, quality, secret_scan, suffix_dedup
+from tickertide.functions.text import let
+from tickertide.llm import chat, decontam, language_id, licenses, mixing, near_dup, periodic, pii, quality, secret_scan, source_audit, suffix_dedup, token_files
+from tickertide.llm.common import plain_words
+from tickertide.sources.handover import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -220,3 +223,76 @@ def op7_ngram_jaccard(spark, folder):
 def op10_suffix_dedup(spark, folder):
     found = suffix_dedup.remove_repeats(table(spark, folder, "documents", "doc_id", "text"), with_text=False, keep=["doc_id"])
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) where one document in ten, by the CRC-32 of its id, repeats a stretch of its words to its end."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumn("g", F.when(crc % 10 == 0, F.floor(crc / 10)))
+
+    def text(words):
+        n = F.size(words)
+        a = (F.col("g") % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+        places = F.sequence(F.lit(0), n - 1)
+        chosen = F.transform(places, lambda i: F.get(words, F.when(i < a, i).otherwise(a + F.pmod(i - a, p))))
+        return F.when(n > 0, F.array_join(chosen, " ")).otherwise("")
+
+    return docs.select("doc_id", F.when(F.col("g").isNull(), F.col("text")).otherwise(let(plain_words(F.col("text")), text)).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, folder):
+    found = periodic.detect_runs(planted(table(spark, folder, "documents", "doc_id", "text")), keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+AUDIT_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM t GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS lang_n FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+f AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.lang_n
+  FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT lang, source, sum(n) AS total FROM f GROUP BY ALL),
+p AS (
+  SELECT f.lang, f.source, f.term, f.n,
+         1 + (CAST(1000000000 AS HUGEINT) * (f.n + 2)) // (s.total + 2 * v.v) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (f.lang_n + 2)) // (v.lang_total + 2 * v.v) AS q
+  FROM f JOIN s ON f.lang = s.lang AND f.source = s.source JOIN v ON f.lang = v.lang),
+x AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+u AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+z AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM z WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op12_source_audit", AUDIT_SQL)
+def op12_source_audit(spark, folder):
+    return source_audit.audit_sources(table(spark, folder, "documents", "lang", "source", "text"))
+
+
+@query("op13_token_files")
+def op13_token_files(spark, folder):
+    import public_tokenizers
+
+    files = new_path(spark, "token-files")
+    token_files.write_tokens(table(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), files)
+    return token_files.read_tokens(spark, files, with_ids=False)
