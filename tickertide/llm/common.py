@@ -19,10 +19,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Keep Arrow batches of long texts small; called by every operator that runs Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def others(df: DataFrame, made: list[str]) -> list[str]:

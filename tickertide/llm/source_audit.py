@@ -11,7 +11,8 @@
    has the group's p0, so with the terms of a, of b, and of both:
        sum of f = sum_a f(p_a, p0_b) + sum_b f(p0_a, p_b) + (V - terms_a - terms_b) f(p0_a, p0_b)
                 + sum_both [f(p_a, p_b) - f(p_a, p0_b) - f(p0_a, p_b) + f(p0_a, p0_b)]
-   The first two sums go over the distinct p of a group; only the last joins groups, on terms that both hold.
+   The first two sums go over the distinct counts of a group, the last over the distinct pairs of counts of two groups,
+   which come from the terms' own rows: a term is one row with its sources, so no pairs of terms are joined.
 
 Result: for each group, part `pair` (each other source of the lang; all) and part `term` (kept terms more frequent here
 than in the lang; `top` of them), ranked by value, then item in UTF-8 order.
@@ -32,7 +33,7 @@ from tickertide.llm.common import small_batches
 from tickertide.sources.handover import materialise
 
 #: Entries of a task's tables before they are handed on.
-ENTRIES = 500_000
+ENTRIES = 150_000
 COUNTS = "lang string, term string, source string, n long, documents long"
 
 #: Letters and everything beyond ASCII stay (A-Z as a-z), the rest parts terms.
@@ -87,11 +88,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _rows(tables)
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, term, source, n, documents) over all copies of all texts."""
-    small_batches(docs.sparkSession)
-    parts = collapse(docs).mapInArrow(_count, COUNTS)
-    return parts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+def held_terms(docs: DataFrame, least_documents: int) -> DataFrame:
+    """(lang, term, lang_n, held) of the kept terms; held has (source, n) of the sources with the term, by source.
+
+    Tasks have added up their own counts, so a term arrives as a row per task and source at most; both sums follow one shuffle.
+    """
+    small_batches(docs.sparkSession, 4 << 20)
+    parts = collapse(docs).mapInArrow(_count, COUNTS).repartition("lang", "term")
+    summed = parts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+    terms = summed.groupBy("lang", "term").agg(
+        F.sum("n").alias("lang_n"), F.sum("documents").alias("documents"), F.array_sort(F.collect_list(F.struct("source", "n"))).alias("held"))
+    return terms.filter(F.col("documents") >= least_documents).drop("documents")
 
 
 def probability(count: Column, total: Column, terms: Column) -> Column:
@@ -112,50 +119,48 @@ def _ranked(rows: DataFrame, part: str, top: int | None = None) -> DataFrame:
     return ranked.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
 
 
-def pair_values(groups: DataFrame, held: DataFrame) -> DataFrame:
-    """(lang, a, b, value) for each two sources a < b of a language.
+def pair_values(groups: DataFrame, terms: DataFrame) -> DataFrame:
+    """(lang, a, b, value) for each two sources a < b of a language; groups: lang, source, total, terms, v, p0."""
+    a, b = (groups.select("lang", F.col("source").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("total", "terms", "p0", "v")]) for x in "ab")
+    p = {x: probability(F.col(f"n_{x}"), F.col(f"total_{x}"), F.col(f"v_{x}")) for x in "ab"}
+    p0 = {x: F.col(f"p0_{x}") for x in "ab"}
+    none = difference(p0["a"], p0["b"])
 
-    groups: lang, source, p0, terms, v; held: lang, term, source, p, p0.
-    """
-    a, b = (groups.select("lang", *[F.col(c).alias(f"{c}_{x}") for c in ("source", "p0", "terms")], *(["v"] if x == "a" else [])) for x in "ab")
-    lacking = (F.col("v") - F.col("terms_a") - F.col("terms_b")) * difference(F.col("p0_a"), F.col("p0_b"))
-    neither = a.join(b, "lang").filter("source_a < source_b").select(
-        "lang", F.col("source_a").alias("a"), F.col("source_b").alias("b"), F.coalesce(lacking, F.lit(0)).alias("value"))
-
-    distinct = held.groupBy("lang", "source", "p").agg(F.count("*").alias("n"))
-    one = distinct.join(b, "lang").filter("source <> source_b").select(
-        "lang", F.least("source", "source_b").alias("a"), F.greatest("source", "source_b").alias("b"),
-        (F.col("n") * difference(F.col("p"), F.col("p0_b"))).alias("value"))
-
-    ha, hb = (held.select("lang", "term", *[F.col(c).alias(f"{c}_{x}") for c in ("source", "p", "p0")]) for x in "ab")
-    f = lambda x, y: difference(F.col(x), F.col(y))
-    both = ha.join(hb, ["lang", "term"]).filter("source_a < source_b").select(
-        "lang", F.col("source_a").alias("a"), F.col("source_b").alias("b"),
-        (f("p_a", "p_b") - f("p_a", "p0_b") - f("p0_a", "p_b") + f("p0_a", "p0_b")).alias("value"))
+    lacking = (F.col("v_a") - F.col("terms_a") - F.col("terms_b")) * none
+    neither = a.join(b, "lang").filter("a < b").select("lang", "a", "b", F.coalesce(lacking, F.lit(0)).alias("value"))
+
+    # terms with equal counts give equal values: each combination of counts is worked out once
+    counts = terms.select("lang", F.explode("held").alias("x")).groupBy("lang", F.col("x.source").alias("a"), F.col("x.n").alias("n_a"))
+    one = counts.agg(F.count("*").alias("k")).join(a, ["lang", "a"]).join(b, "lang").filter("a <> b").select(
+        "lang", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("k") * difference(p["a"], p0["b"])).alias("value"))
+
+    sides = terms.filter(F.size("held") > 1).select("lang", "held", F.posexplode("held").alias("i", "x"))
+    sides = sides.select("lang", "x", F.explode(F.slice("held", F.col("i") + 2, F.size("held"))).alias("y"))
+    met = sides.groupBy("lang", *[F.col(f"{s}.{c}").alias(f"{n}{x}") for s, x in (("x", "a"), ("y", "b")) for c, n in (("source", ""), ("n", "n_"))])
+    corrected = difference(p["a"], p["b"]) - difference(p["a"], p0["b"]) - difference(p0["a"], p["b"]) + none
+    both = met.agg(F.count("*").alias("k")).join(a, ["lang", "a"]).join(b, ["lang", "b"]).select("lang", "a", "b", (F.col("k") * corrected).alias("value"))
     return neither.unionByName(one).unionByName(both).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
 def audit_sources(docs: DataFrame, least_documents: int = 10, top: int = 10) -> DataFrame:
     """(lang, source, part, item, value, rank), see above."""
-    counts = materialise(term_counts(docs.select("lang", "source", "text")), "audit-counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("documents").alias("documents"))
-    kept = kept.filter(F.col("documents") >= least_documents).drop("documents")
-    held = materialise(counts.drop("documents").join(kept, ["lang", "term"]), "audit-held")
+    terms = materialise(held_terms(docs.select("lang", "source", "text"), least_documents), "audit-terms")
+    each = terms.select("lang", "term", "lang_n", F.explode("held").alias("x")).select("lang", "term", "lang_n", "x.source", "x.n")
 
-    totals = held.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("terms"))
-    langs = kept.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("v"))
+    totals = each.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("terms"))
+    langs = terms.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("v"))
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     groups = docs.select(name("lang"), name("source")).distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.fillna(0, ["total", "terms", "lang_total", "v"])
     p0 = F.when(F.col("v") > 0, probability(F.lit(0), F.col("total"), F.col("v")))
     groups = materialise(groups.withColumn("p0", p0), "audit-groups")
 
-    scored = held.join(groups.select("lang", "source", "total", "lang_total", "v", "p0"), ["lang", "source"]).withColumn(
-        "p", probability(F.col("n"), F.col("total"), F.col("v")))
-    pairs = pair_values(groups, scored.select("lang", "term", "source", "p", "p0"))
+    pairs = pair_values(groups, terms)
     sides = F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item"))))
     pairs = pairs.select("lang", sides.alias("side"), "value").select("lang", "side.source", "side.item", "value")
 
+    p = probability(F.col("n"), F.col("total"), F.col("v"))
     q = probability(F.col("lang_n"), F.col("lang_total"), F.col("v"))
-    terms = scored.withColumn("q", q).filter("p > q").select("lang", "source", F.col("term").alias("item"), difference(F.col("p"), F.col("q")).alias("value"))
-    return _ranked(pairs, "pair").unionByName(_ranked(terms, "term", top))
+    scored = each.join(groups.select("lang", "source", "total", "lang_total", "v"), ["lang", "source"]).withColumns({"p": p, "q": q})
+    more = scored.filter("p > q").select("lang", "source", F.col("term").alias("item"), difference(F.col("p"), F.col("q")).alias("value"))
+    return _ranked(pairs, "pair").unionByName(_ranked(more, "term", top))
