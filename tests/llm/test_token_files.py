@@ -14,14 +14,19 @@ from tickertide.llm import token_files
 
 SMALL = "/root/testdata/sf0.001"
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+MODEL = Tokenizer.from_file(BPE)
+ENCODER = token_files.Encoder(BPE, 2)
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.one_of(st.integers(0, 40), st.integers(0, 2**32 - 1)), max_size=600), st.sampled_from([8, 128, 256]), st.sampled_from([0, 50, 90, 100]))
+@given(st.lists(st.one_of(st.integers(0, 40), st.integers(0, 2**32 - 1)), max_size=600), st.sampled_from([8, 12, 128, 256]), st.sampled_from([0, 50, 90, 100]))
 def test_round_trip_of_any_ids(values, block, percentile):
     ids = np.array(values, dtype=np.uint32)
     data, starts = token_files.pack(ids, block, percentile)
     assert token_files.unpack(data, starts, len(ids), block).tolist() == values
+    small = ids % 70_000
+    data_, starts_ = token_files.pack(small, block, percentile)
+    assert (token_files.unpack(data_, starts_, len(small), block) == small).all()
     # each block is read by itself
     single = [token_files.unpack_block(data, int(s), block).tolist() for s in starts]
     assert sum(single, [])[: len(values)] == values
@@ -38,7 +43,7 @@ def test_outliers_are_exceptions():
 
 def test_file_of_documents():
     docs = [np.arange(n, dtype=np.uint32) * 7 for n in (0, 1, 300, 5)]
-    content = token_files.file_of([3, None, -4, 5], docs, 6, 77) + b"\n"
+    content = token_files.file_of([3, None, -4, 5], np.array([0, 1, 300, 5]), np.concatenate(docs), 6, 77) + b"\n"
     head, table, starts, data = token_files.parts_of(content)
     assert head == {"block": 256, "n_ids": 306, "partition": 6, "before": 77}
     assert table["id"].tolist() == [3, 0, -4, 5] and table["null"].tolist() == [0, 1, 0, 0] and table["first"].tolist() == [0, 0, 1, 301]
@@ -51,14 +56,40 @@ def test_file_of_documents():
         raise AssertionError("a broken file was read")
 
 
-def test_pieces_encode_as_the_whole():
-    text = "words  and\tblanks \n\n 12 don't é 漢字   x" * 40 + "y" * 500 + " end  "
-    model = Tokenizer.from_file(BPE)
-    for most in (10, 37, 1000):
-        parts = token_files.pieces(text, most)
-        assert "".join(parts) == text and len(parts) > 1
-        assert sum((model.encode(p, add_special_tokens=False).ids for p in parts), []) == model.encode(text, add_special_tokens=False).ids
-    assert token_files.pieces("z" * 100, 10) == ["z" * 100] and token_files.pieces("", 10) == [""]
+ODD = st.sampled_from(
+    list(" \n\t\r\x0b\0\x1c\x1f\x85\xa0\u2003\u3000\u200b'!.,aAéß×÷漢5²½\u0301\U0001f600<|")
+    + ["don't", " we'll", "!'s", "  ", "\n\n", "\u3000\n", "abc", " ab", "12", "<|endoftext|>"])
+
+
+def whole(text):
+    return MODEL.encode(text, add_special_tokens=False).ids + [2]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.lists(ODD, max_size=30).map("".join), min_size=1, max_size=5))
+def test_units_encode_as_whole_texts(texts):
+    ids, sizes = ENCODER.encode([t.encode() for t in texts])
+    assert sizes.tolist() == [len(whole(t)) for t in texts]
+    assert ids.tolist() == sum(map(whole, texts), [])
+
+
+def test_long_texts_and_forgotten_units(monkeypatch):
+    text = "words  and\tblanks \n\n 12 don't é 漢字   x\xa0y a b c " * 40 + "y" * 500 + " end  "
+    texts = [text, "", "z" * 300, " ".join(f"word{k * k % 97}é" for k in range(400)), text[::-1]]
+    for piece, units in ((10, 20), (200, 50), (1 << 21, 1 << 18)):
+        monkeypatch.setattr(token_files, "UNITS", units)
+        monkeypatch.setattr(token_files, "PIECE", piece)
+        encoder = token_files.Encoder(BPE, 2)
+        ids, sizes = encoder.encode([t.encode() for t in texts])
+        assert ids.tolist() == sum(map(whole, texts), []) and sizes.tolist() == [len(whole(t)) for t in texts]
+    assert len(token_files.pieces(text.encode(), 50)) > 20 and b"".join(token_files.pieces(text.encode(), 50)) == text.encode()
+    assert token_files.pieces(b"z" * 100, 10) == [b"z" * 100]
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(token_files, "_hashes", lambda a, b, sizes: np.zeros(len(a), dtype=np.uint64))
+    ids, _ = token_files.Encoder(BPE, 2).encode([b"one two three two", b"two"])
+    assert ids.tolist() == whole("one two three two") + whole("two")
 
 
 def expected(rows):

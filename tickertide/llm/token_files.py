@@ -10,16 +10,20 @@ A file, little-endian:
     6 x uint64   block size, ids, documents, partition, ids of this partition before this file, bytes of the blocks
     per document int64 doc_id, uint8 (1: the id is null), uint64 its first id's place in the file
     per block    uint64 where the block starts in the bytes of the blocks, so that any block is read by itself
-    the blocks:  uint32 minimum, uint8 width, uint16 exceptions; the ids minus the minimum, `width` bits each, lowest
+    the blocks:  uint32 minimum, uint8 width, uint16 exceptions; the ids minus the minimum, `width` bits each, highest
                  bits first; per exception uint16 place; per exception uint32 what is above the lowest `width` bits
     1 byte       line feed (the writer's end of record; not counted above)
 
 The width of a block is that of the value at `percentile` of its ids minus the minimum; larger values are exceptions, of which the
 lowest bits stay in place. The last block of a file is padded with its minimum.
 
-A file holds whole documents, up to FILE_IDS ids or one longer document, so memory is bounded by that, and by one
-text. Texts above PIECE characters are encoded in pieces, cut where a blank parts two characters that are no white
-space: the tokenizer parts words there by itself. Files are committed by Spark, so tasks of lost executors are repeated.
+The tokenizer must be a byte-level BPE with the usual pattern for words (no normalizer, no added blank). It merges bytes
+only within a word, its blank before it, a run of digits, of symbols or of white space. Texts are cut at places where two such runs
+surely meet (see unit_starts); a task has the library encode each distinct unit once and looks repetitions up. The
+tests hold the ids against whole texts encoded by the library. Texts with strings of special tokens are encoded whole.
+
+A file holds whole documents, up to FILE_IDS ids or those of one piece of work (PIECE bytes of text, or one longer
+document), which bounds the memory. Files are committed by Spark, so tasks of lost executors are repeated.
 
 Null text: empty, so that only the end id is left. Null ids come first and are kept as null. Rows with equal ids come in the
 order of a hash of their texts, repeated rows side by side. Empty tables give files without documents or none. Other columns are ignored.
@@ -27,24 +31,30 @@ doc_id must be a whole number; the tokenizer is named by its path, which every e
 """
 
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickertide.llm.common import small_batches, text_key
+from tickertide.llm.common import mix, small_batches, text_key
 
 MAGIC = b"TTPFOR01"
 HEAD = struct.Struct("<8s6Q")
 BLOCK, PERCENTILE = 256, 90
-FILE_IDS = 1 << 22
-PIECE = 1 << 20
+FILE_IDS = 1 << 21
+#: Bytes of text that are encoded together, and units that a worker remembers.
+PIECE, UNITS = 1 << 22, 1 << 19
 #: Blocks whose bits are spread out at a time.
 SLICE = 512
 
@@ -54,6 +64,52 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.where(values > 0, np.frexp(values.astype(np.float64))[1], 0).astype(np.int64)
 
 
+def _joined(rows: np.ndarray, width: int) -> np.ndarray:
+    """Rows of values of up to 32 bits as rows of bytes, `width` bits a value."""
+    n, block = rows.shape
+    rows = rows & np.uint32((1 << width) - 1)
+    if width > 16 or block % 8:
+        bits = np.unpackbits(rows.astype(">u4").view(np.uint8).reshape(n, block, 4), axis=2)
+        return np.packbits(bits[:, :, 32 - width :].reshape(n, -1), axis=1)
+    # four values fill half of an even number of bytes, eight a whole number
+    v, w = rows.astype(np.uint64).reshape(n, block // 4, 4), np.uint64(width)
+    fours = (((v[:, :, 0] << w | v[:, :, 1]) << w | v[:, :, 2]) << w) | v[:, :, 3]
+    tail = lambda x, k: x.astype(">u8").view(np.uint8).reshape(*x.shape, 8)[:, :, 8 - k :]
+    if width % 2 == 0:
+        return tail(fours, width // 2).reshape(n, -1)
+    high, low, rest, k = fours[:, 0::2], fours[:, 1::2], np.uint64(4 * width - 4), width // 2
+    middle = ((high & np.uint64(15)) << np.uint64(4) | low >> rest).astype(np.uint8)
+    low = low & ((np.uint64(1) << rest) - np.uint64(1))
+    return np.concatenate([tail(high >> np.uint64(4), k), middle[:, :, None], tail(low, k)], axis=2).reshape(n, -1)
+
+
+def _spread(packed: np.ndarray, width: int, block: int) -> np.ndarray:
+    """The values of rows of bytes."""
+    n = len(packed)
+    if width > 16 or block % 8:
+        bits = np.zeros((n, block, 32), dtype=np.uint8)
+        bits[:, :, 32 - width :] = np.unpackbits(packed, axis=1)[:, : block * width].reshape(n, block, width)
+        return np.packbits(bits, axis=2).reshape(n, -1).view(">u4").astype(np.uint32)
+
+    def number(part):
+        full = np.zeros((*part.shape[:2], 8), dtype=np.uint8)
+        full[:, :, 8 - part.shape[2] :] = part
+        return full.view(">u8")[:, :, 0].astype(np.uint64)
+
+    if width % 2 == 0:
+        fours = number(packed.reshape(n, block // 4, width // 2))
+    else:
+        parts, k, rest = packed.reshape(n, block // 8, width), width // 2, np.uint64(4 * width - 4)
+        middle = parts[:, :, k].astype(np.uint64)
+        fours = np.empty((n, block // 4), dtype=np.uint64)
+        fours[:, 0::2] = number(parts[:, :, :k]) << np.uint64(4) | middle >> np.uint64(4)
+        fours[:, 1::2] = (middle & np.uint64(15)) << rest | number(parts[:, :, k + 1 :])
+    mask, out = np.uint64((1 << width) - 1), np.empty((n, block // 4, 4), dtype=np.uint32)
+    for j in range(4):
+        out[:, :, j] = fours >> np.uint64(width * (3 - j)) & mask
+    return out.reshape(n, block)
+
+
 def pack(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> tuple[bytes, np.ndarray]:
     """The bytes of the blocks of uint32 ids, and where each block starts."""
     n = -(-len(ids) // block)
@@ -70,13 +126,14 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> t
     packed: list[bytes] = [b""] * n
     for width in np.unique(widths[widths > 0]).tolist():
         which = np.flatnonzero(widths == width)
-        shifts = np.arange(width, dtype=np.uint32)
         for k in range(0, len(which), SLICE):
             some = which[k : k + SLICE]
-            bits = ((rows[some][:, :, None] >> shifts) & np.uint32(1)).astype(np.uint8)
-            for i, line in zip(some.tolist(), np.packbits(bits.reshape(len(some), -1), axis=1, bitorder="little")):
-                packed[i] = line.tobytes()
-    above = (rows.astype(np.uint64) >> widths[:, None].astype(np.uint64)).astype(np.uint32)
+            lines = _joined(rows[some], width)
+            size, data = lines.shape[1], lines.tobytes()
+            for j, i in enumerate(some.tolist()):
+                packed[i] = data[j * size : (j + 1) * size]
+    # a shift by all 32 bits leaves nothing
+    above = np.where(widths[:, None] < 32, rows >> np.minimum(widths, 31).astype(np.uint32)[:, None], np.uint32(0))
     at_row, place = np.nonzero(above)
     cuts = np.searchsorted(at_row, np.arange(n + 1))
     place, high = place.astype("<u2"), above[above > 0].astype("<u4")
@@ -94,10 +151,7 @@ def unpack_block(data: bytes, start: int, block: int = BLOCK) -> np.ndarray:
     low, width, n = struct.unpack_from("<IBH", data, start)
     at = start + 7
     size = (block * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little")[: block * width].reshape(block, width)
-    values = np.zeros(block, dtype=np.uint32)
-    for k in range(width):
-        values |= bits[:, k].astype(np.uint32) << np.uint32(k)
+    values = _spread(np.frombuffer(data, np.uint8, size, at)[None, :], width, block)[0] if width else np.zeros(block, dtype=np.uint32)
     if n:
         place = np.frombuffer(data, "<u2", n, at + size)
         values[place] |= np.frombuffer(data, "<u4", n, at + size + 2 * n) << np.uint32(width)
@@ -119,32 +173,27 @@ def unpack(data: bytes, starts: np.ndarray, n_ids: int, block: int = BLOCK) -> n
         size = (block * width + 7) // 8
         for k in range(0, len(which), SLICE):
             some = which[k : k + SLICE]
-            bits = np.unpackbits(raw[(starts[some] + 7)[:, None] + np.arange(size)], axis=1, bitorder="little")
-            bits = bits[:, : block * width].reshape(len(some), block, width)
-            part = np.zeros((len(some), block), dtype=np.uint32)
-            for j in range(width):
-                part |= bits[:, :, j].astype(np.uint32) << np.uint32(j)
-            rows[some] = part
-    for i in np.flatnonzero(exceptions).tolist():
-        count, width = int(exceptions[i]), int(widths[i])
-        at = int(starts[i]) + 7 + (block * width + 7) // 8
-        place = np.frombuffer(data, "<u2", count, at)
-        rows[i, place] |= np.frombuffer(data, "<u4", count, at + 2 * count) << np.uint32(width)
+            rows[some] = _spread(raw[(starts[some] + 7)[:, None] + np.arange(size)], width, block)
+    owner = np.repeat(np.arange(n), exceptions)
+    if len(owner):
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(exceptions) - exceptions, exceptions)
+        at = (starts + 7 + (block * widths + 7) // 8)[owner]
+        place = raw[(at + 2 * nth)[:, None] + np.arange(2)].view("<u2")[:, 0]
+        high = raw[(at + 2 * exceptions[owner] + 4 * nth)[:, None] + np.arange(4)].view("<u4")[:, 0]
+        rows[owner, place] |= high << widths[owner].astype(np.uint32)
     rows += low[:, None]
     return rows.reshape(-1)[:n_ids]
 
 
-def file_of(doc_ids: list[int | None], ids: list[np.ndarray], partition: int, before: int, block: int = BLOCK, percentile: int = PERCENTILE) -> bytes:
-    """One file of whole documents."""
-    sizes = np.array([len(x) for x in ids], dtype=np.uint64)
-    firsts = np.cumsum(sizes, dtype=np.uint64) - sizes
-    every = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
-    data, starts = pack(every, block, percentile)
-    docs = np.zeros(len(ids), dtype=[("id", "<i8"), ("null", "u1"), ("first", "<u8")])
+def file_of(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray, partition: int, before: int, block: int = BLOCK, percentile: int = PERCENTILE) -> bytes:
+    """One file of whole documents: their ids in a row, and how many each has."""
+    firsts = np.cumsum(sizes) - sizes
+    data, starts = pack(ids, block, percentile)
+    docs = np.zeros(len(doc_ids), dtype=[("id", "<i8"), ("null", "u1"), ("first", "<u8")])
     docs["id"] = [d or 0 for d in doc_ids]
     docs["null"] = [d is None for d in doc_ids]
     docs["first"] = firsts
-    head = HEAD.pack(MAGIC, block, len(every), len(ids), partition, before, len(data))
+    head = HEAD.pack(MAGIC, block, len(ids), len(doc_ids), partition, before, len(data))
     return b"".join([head, docs.tobytes(), starts.astype("<u8").tobytes(), data])
 
 
@@ -163,57 +212,265 @@ def parts_of(content: bytes) -> tuple[dict, np.ndarray, np.ndarray, bytes]:
     return {"block": block, "n_ids": n_ids, "partition": partition, "before": before}, docs, starts, content[at : at + size]
 
 
-def pieces(text: str, most: int = PIECE) -> list[str]:
-    """The text in pieces of about `most` characters that encode as the whole does."""
+# kinds of bytes
+BLANK, GAP, LETTER, DIGIT, SYMBOL, APOSTROPHE, OTHER = range(7)
+_KIND = np.full(256, SYMBOL, dtype=np.uint8)
+_KIND[128:] = OTHER
+_KIND[9:14] = GAP
+_KIND[32], _KIND[39] = BLANK, APOSTROPHE
+_KIND[48:58] = DIGIT
+_KIND[65:91] = _KIND[97:123] = LETTER
+_KINDS = _KIND.tobytes()
+_BETWEEN = re.compile(rb"[A-Za-z] [A-Za-z]")
+
+# between two kinds: no cut, a cut, or it depends on their neighbours
+CUT, BOTH_WHITE, AFTER_GAP = 1, 2, 3
+
+
+def _cuts() -> bytes:
+    """What is between two kinds, by 8 * first + second. Beside OTHER, and after an apostrophe, which letters may follow, a run may go on."""
+    table = np.zeros(256, dtype=np.uint8)
+    known = (LETTER, DIGIT, SYMBOL, APOSTROPHE)
+    for a in known:
+        for b in (BLANK, GAP, *known):
+            same_run = a == b or {a, b} == {SYMBOL, APOSTROPHE} or (a, b) == (APOSTROPHE, LETTER)
+            table[8 * a + b] = 0 if same_run else CUT
+        table[8 * GAP + a] = AFTER_GAP
+    for a in (BLANK, GAP):
+        for b in (BLANK, GAP):
+            table[8 * a + b] = BOTH_WHITE
+    return table.tobytes()
+
+
+_CUTS = _cuts()
+
+
+def unit_starts(data: bytes, ends: np.ndarray) -> np.ndarray:
+    """Where units start in the bytes of texts (UTF-8), each with one more byte at its end.
+
+    A blank belongs to the word after it; other white space parts words. Of several white spaces before a word, the
+    last is by itself or with the word, the others are together. Beside characters of unknown kind nothing is cut.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    kind = np.frombuffer(data.translate(_KINDS), np.uint8).copy()
+    # two-byte letters from U+00C0 to U+00FF
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = LETTER
+    kind[ends] = OTHER
+    between = np.frombuffer((kind[:-1] << 3 | kind[1:]).tobytes().translate(_CUTS), np.uint8)
+    starts = np.zeros(len(raw) + 1, dtype=bool)
+    starts[1:-1] = between == CUT
+    white = np.flatnonzero(between == BOTH_WHITE)
+    after = kind[white + 2]
+    starts[white + 1] = (after > GAP) & (after < OTHER)
+    # with white space of unknown kind before it, a gap is not by itself
+    gap = np.flatnonzero(between == AFTER_GAP)
+    starts[gap + 1] = (gap == 0) | (kind[gap - 1] != OTHER)
+    starts[0] = starts[ends] = starts[ends + 1] = True
+    return np.flatnonzero(starts[:-1])
+
+
+def pieces(text: bytes, most: int) -> list[bytes]:
+    """The text in pieces of about `most` bytes, cut before a blank between two letters."""
     out, start = [], 0
     while len(text) - start > most:
-        cut = text.find(" ", start + most)
-        # a blank between two characters that are no white space starts a new word
-        while cut > 0 and (cut + 1 >= len(text) or text[cut - 1].isspace() or text[cut + 1].isspace()):
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
+        cut = _BETWEEN.search(text, start + most)
+        if not cut:
             break
-        out.append(text[start:cut])
-        start = cut
+        out.append(text[start : cut.start() + 1])
+        start = cut.start() + 1
     return out + [text[start:]]
 
 
-def encoder(tokenizer: str):
-    """A function from texts to their ids."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(tokenizer)
-
-    def encode(texts: list[bytes | None]) -> list[np.ndarray]:
-        cut = [pieces((t or b"").decode(errors="replace")) for t in texts]
-        found = iter(model.encode_batch_fast([p for ps in cut for p in ps], add_special_tokens=False))
-        return [np.concatenate([np.array(next(found).ids, dtype=np.uint32) for _ in ps]) for ps in cut]
-
-    return encode
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def _eight(words: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Up to eight bytes at each place as one number."""
+    word, shift = at >> 3, (at.astype(np.uint64) & np.uint64(7)) << np.uint64(3)
+    # a shift by 64 in two steps
+    high = words[word + 1] << (np.uint64(63) - shift) << np.uint64(1)
+    return (words[word] >> shift | high) & _MASK[np.clip(sizes, 0, 8)]
+
+
+def _hashes(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return mix(a ^ mix(b + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def distinct_units(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per unit the number of its kind, and per kind a unit of it."""
+    words = np.frombuffer(data + bytes(24 - len(data) % 8), "<u8")
+    a, b = _eight(words, starts, sizes), _eight(words, np.minimum(starts + 8, len(data)), sizes - 8)
+    # longer units get a number each
+    names: dict[bytes, int] = {}
+    for k in np.flatnonzero(sizes > 16).tolist():
+        a[k], b[k] = names.setdefault(data[starts[k] : starts[k] + sizes[k]], len(names)), 0
+    codes, kinds = pd.factorize(_hashes(a, b, sizes))
+    first = np.empty(len(kinds), dtype=np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    model = first[codes]
+    if (a[model] == a).all() and (b[model] == b).all() and (sizes[model] == sizes).all():
+        return codes, first
+    # two units have one hash
+    names = {}
+    codes = np.fromiter((names.setdefault(data[s : s + n], len(names)) for s, n in zip(starts.tolist(), sizes.tolist())), np.int64, len(starts))
+    first = np.empty(len(names), dtype=np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    return codes, first
+
+
+class Encoder:
+    """Ids of texts, each with the end id; the library encodes each unit once.
+
+    Up to UNITS units are remembered; beyond that, those stay that more pieces of text have had.
+    """
+
+    def __init__(self, tokenizer: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(tokenizer)
+        self.end_id = end_id
+        self.specials = [t.content.encode() for t in self.model.get_added_tokens_decoder().values()]
+        # unit 0 is nothing, unit 1 the end of a text
+        self.numbers: dict[bytes, int] = {}
+        self.ids, self.firsts, self.sizes, self.uses = array("I", [end_id]), array("q", [0, 0]), array("q", [0, 1]), array("I", [0, 0])
+
+    def _forget(self) -> None:
+        uses = np.array(self.uses)
+        least = 2
+        while (uses >= least).sum() > UNITS // 2:
+            least *= 2
+        old, ids, firsts, sizes = self.numbers, self.ids, self.firsts, self.sizes
+        self.numbers = {}
+        self.ids, self.firsts, self.sizes, self.uses = array("I", [self.end_id]), array("q", [0, 0]), array("q", [0, 1]), array("I", [0, 0])
+        kept = [(unit, k) for unit, k in old.items() if uses[k] >= least]
+        self._add([unit for unit, _ in kept], [ids[firsts[k] : firsts[k] + sizes[k]] for _, k in kept], uses[[k for _, k in kept]] // 2)
+
+    def _add(self, units: list[bytes], found: list, uses: np.ndarray) -> None:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.numbers.update(zip(units, range(len(self.firsts), len(self.firsts) + len(units))))
+        self.firsts.frombytes((len(self.ids) + np.cumsum(sizes) - sizes).tobytes())
+        self.sizes.frombytes(sizes.tobytes())
+        self.uses.frombytes(uses.astype(np.uint32).tobytes())
+        self.ids.extend(chain.from_iterable(found))
+
+    def _known(self, units: list[bytes]) -> np.ndarray:
+        """The numbers of units, each given once."""
+        numbers = list(map(self.numbers.get, units))
+        new = [u for u, k in zip(units, numbers) if k is None]
+        if new:
+            if len(self.numbers) + len(new) > UNITS and self.numbers:
+                self._forget()
+                new = [u for u in units if u not in self.numbers]
+            found = self.model.encode_batch_fast([u.decode() for u in new], add_special_tokens=False)
+            self._add(new, [f.ids for f in found], np.zeros(len(new)))
+            numbers = list(map(self.numbers.__getitem__, units))
+        which = np.array(numbers, dtype=np.int64)
+        np.frombuffer(self.uses, np.uint32)[which] += 1
+        return which
+
+    def _together(self, texts: list[bytes], whole: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, and how many each has; those that are whole end with the end id."""
+        data = b"\0".join(texts) + b"\0"
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        starts = unit_starts(data, ends)
+        sizes = np.diff(np.append(starts, len(data)))
+        codes, first = distinct_units(data, starts, sizes)
+        units = [data[a : a + n] for a, n in zip(starts[first].tolist(), sizes[first].tolist())]
+        which = self._known(units)[codes]
+        at_end = np.searchsorted(starts, ends)
+        which[at_end] = np.array(whole, dtype=np.int64)
+        ids, firsts, sizes = (np.frombuffer(a, t) for a, t in ((self.ids, np.uint32), (self.firsts, np.int64), (self.sizes, np.int64)))
+        sizes = sizes[which]
+        stops = np.cumsum(sizes)
+        found = ids[np.arange(stops[-1]) + np.repeat(firsts[which] - (stops - sizes), sizes)]
+        return found, np.diff(stops[at_end], prepend=0)
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, in a row, and how many each has."""
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        owner, waiting, whole, size = [], [], [], 0
+
+        def work():
+            nonlocal waiting, whole, size
+            if waiting:
+                found.append(self._together(waiting, whole))
+            waiting, whole, size = [], [], 0
+
+        for k, text in enumerate(texts):
+            if any(s in text for s in self.specials):
+                # their strings are ids of their own, whatever stands around them
+                work()
+                ids = self.model.encode(text.decode(), add_special_tokens=False).ids + [self.end_id]
+                found.append((np.array(ids, dtype=np.uint32), np.array([len(ids)])))
+                owner.append(k)
+                continue
+            parts = pieces(text, PIECE)
+            for i, part in enumerate(parts):
+                waiting.append(part)
+                whole.append(i == len(parts) - 1)
+                owner.append(k)
+                size += len(part)
+                if size >= PIECE:
+                    work()
+        work()
+        if not found:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        sizes = np.bincount(owner, weights=np.concatenate([f[1] for f in found]), minlength=len(texts)).astype(np.int64)
+        return np.concatenate([f[0] for f in found]), sizes
+
+
+@lru_cache(maxsize=1)
+def encoder(tokenizer: str, end_id: int) -> Encoder:
+    """Kept by a worker process for its next tasks."""
+    return Encoder(tokenizer, end_id)
+
+
+def valid(text: bytes | None) -> bytes:
+    """UTF-8; broken characters are replaced."""
+    try:
+        (text or b"").decode()
+    except UnicodeDecodeError:
+        return text.decode(errors="replace").encode()
+    return text or b""
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, block: int = BLOCK, percentile: int = PERCENTILE) -> None:
     """Write the ids of all documents, by ascending doc_id, to new files in the folder."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 4 << 20)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("key"))
     placed = given.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "text").drop("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, partition = encoder(tokenizer), TaskContext.get().partitionId()
-        end = np.array([end_id], dtype=np.uint32)
-        doc_ids, ids, size, before = [], [], 0, 0
-        made = lambda: pa.RecordBatch.from_arrays([pa.array([file_of(doc_ids, ids, partition, before, block, percentile)], pa.binary())], names=["content"])
+        encode, partition, before = encoder(tokenizer, end_id).encode, TaskContext.get().partitionId(), 0
+        doc_ids, parts, sizes, size = [], [], [], 0
+
+        def made():
+            nonlocal before, doc_ids, parts, sizes, size
+            content = file_of(doc_ids, np.concatenate(sizes), np.concatenate(parts), partition, before, block, percentile)
+            before += size
+            doc_ids, parts, sizes, size = [], [], [], 0
+            return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
+
         for batch in batches:
-            for doc_id, found in zip(batch.column(0).to_pylist(), encode(batch.column(1).cast(pa.binary()).to_pylist())):
-                if ids and size + len(found) + 1 > FILE_IDS:
+            names = batch.column(0).to_pylist()
+            ids, counts = encode([valid(t) for t in batch.column(1).cast(pa.binary()).to_pylist()])
+            ends, k = np.cumsum(counts), 0
+            while k < len(names):
+                start = int(ends[k] - counts[k])
+                stop = int(np.searchsorted(ends, start + FILE_IDS - size, side="right"))
+                if stop <= k and size:
                     yield made()
-                    before += size
-                    doc_ids, ids, size = [], [], 0
-                doc_ids.append(doc_id)
-                ids.append(np.concatenate([found, end]))
-                size += len(found) + 1
-        if ids:
+                    continue
+                stop = max(stop, k + 1)
+                doc_ids += names[k:stop]
+                parts.append(ids[start : ends[stop - 1]])
+                sizes.append(counts[k:stop])
+                size += len(parts[-1])
+                k = stop
+        if doc_ids:
             yield made()
 
     # the text writer puts a string's bytes as they are; a record is a file
@@ -223,7 +480,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
 
 def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32 and, if asked, ids) per document; start counts the ids of all documents before it."""
-    small_batches(spark)
+    small_batches(spark, 4 << 20)
     files = spark.read.format("binaryFile").load(folder).filter("length > 0").select("content")
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
