@@ -1,18 +1,15 @@
 """Quality rules: counts per text, and lines that many documents of a host share.
 
-Lines are normalised (lower case, single blanks, runs of digits as 0) and hashed. Per host (the source column),
-the documents that hold a line are counted, near-copies of one another as one, as they are another operator's
-task. A line in more than `most_surroundings` of them is boilerplate, wherever it stands and whatever is next to it.
-Boilerplate lines are removed, and a document that keeps less than `least_kept` of its words is depleted and
-rejected. All of it is DataFrame functions.
+Lines are normalised (lower case, single blanks, runs of digits as 0) and hashed. Per host (the source column), the distinct
+documents that hold a line are counted; exact copies of a text are one document. A line in more than `most_documents`
+of them goes from all documents of the host, and a document that keeps less than `least_kept` of its words is
+depleted and rejected. All of it is DataFrame functions.
 
-Near-copies are texts whose estimated similarity (Jaccard, sets of five words) is at least ALIKE, and what such
-pairs connect. The estimate compares the smallest hash in each of 64 ranges; texts that agree in four
-neighbouring ranges (a band) are compared with the smallest and the largest text hash of that bucket. A pair
-at similarity 0.8 shares no band with probability 2e-4. Texts of under five words are no near-copies.
+Near-copies are distinct documents here, as telling them apart is another operator's task: where more than `most_documents` of
+them share their lines on one host, these lines go.
 
-Only lines seen more than `most_surroundings` times, and the texts that hold them, are looked at in detail. Joins
-on lines are salted, so that a line in a third of all documents is spread over tasks.
+Texts are cut into lines once; the lines are written (numbers only) and read for both steps. A line that fewer rows hold than the
+limit is not looked at again. Joins on lines are salted, so that a line in a third of all documents is spread over tasks.
 
 Nulls: a null text has no words and fails; a null source is a host of its own. Empty texts fail.
 Repeated rows count once and share their verdict. Empty tables work. Columns of the input with the
@@ -24,15 +21,11 @@ from pyspark.sql import functions as F
 
 from tickertide.functions.text import let
 from tickertide.llm.common import PLAIN_GAP, others, plain_words, text_key
-from tickertide.llm.components import components
 from tickertide.sources.handover import materialise
 
 MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_words", "removed_lines", "kept", "clean_text"]
 SALTS = 16
 WINDOW = 5
-#: Of a hash, the bits that name its range and its band; 64 ranges in 16 bands.
-RANGE_SHIFT, BAND_SHIFT = 58, 60
-ALIKE = 0.7
 
 
 def _covered(positions: Column) -> Column:
@@ -101,63 +94,29 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.withColumn("salt", F.pmod(F.col("text"), F.lit(SALTS)).cast("int"))
 
 
-def _range(h: Column) -> Column:
-    return F.shiftright(h, RANGE_SHIFT)
+def removed_lines(docs: DataFrame, most_documents: int = 50) -> DataFrame:
+    """(host, doc_id, text hash, removed_words, removed_lines) of documents with lines above the limit."""
+    lines = materialise(lines_of(docs), "quality-lines")
+    often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most_documents).drop("n")
+    seen = lines.join(_salted(often), ["host", "line", "salt"])
+    # copies of a text share its hash and its salt, so counts per salt add up
+    holders = seen.groupBy("host", "line", "salt", "text").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    boiler = holders.filter(F.col("n") > most_documents).drop("n")
+    places = F.collect_set(F.struct("place", "words")).alias("places")
+    hits = lines.join(_salted(boiler), ["host", "line", "salt"]).groupBy("host", "doc_id", "text").agg(places)
+    words = F.aggregate("places", F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    return hits.select("host", "doc_id", "text", words.alias("removed_words"), F.col("places.place").alias("removed_lines"))
 
 
-def sketch(text: Column) -> Column:
-    """The smallest hash of five words in each range of hashes that has one, in ascending order."""
-
-    def smallest(hashes):
-        return F.filter(hashes, lambda h, k: F.coalesce(_range(F.get(hashes, k - 1)) != _range(h), F.lit(True)))
-
-    return let(let(plain_words(text), lambda w: F.sort_array(_grams(w))), smallest)
-
-
-def _similarity(a: Column, b: Column) -> Column:
-    ranges = F.array_union(F.transform(a, _range), F.transform(b, _range))
-    return F.size(F.array_intersect(a, b)) / F.size(ranges)
-
-
-def near_copies(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, label) for those of `texts` (hashes) that have near-copies among them; label names the class."""
-    keyed = docs.filter(F.col("text").isNotNull()).select(text_key().alias("node"), sketch(F.col("text")).alias("sketch"))
-    held = keyed.join(texts.select(F.col("text").alias("node")), "node", "left_semi").dropDuplicates(["node"])
-    held = materialise(held.filter(F.size("sketch") > 0), "quality-sketches")
-    bands = F.transform(F.sequence(F.lit(-8), F.lit(7)), lambda b: F.filter("sketch", lambda h: F.shiftright(h, BAND_SHIFT) == b))
-    in_bands = held.select("node", F.explode(F.filter(bands, lambda b: F.size(b) > 0)).alias("band")).select("node", F.xxhash64("band").alias("bucket"))
-    ends = in_bands.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
-    pairs = in_bands.join(ends, "bucket").select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")).filter("a <> b").distinct()
-    one, other = (held.select(F.col("node").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
-    alike = pairs.join(one, "a").join(other, "b").filter(_similarity(F.col("sketch_a"), F.col("sketch_b")) >= ALIKE)
-    return components(alike.select("a", "b"))
-
-
-def removed_lines(docs: DataFrame, most_surroundings: int = 50) -> DataFrame:
-    """(doc_id, text hash, removed_words, places) of documents with boilerplate lines."""
-    lines = lines_of(docs)
-    often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most_surroundings).drop("n")
-    seen = materialise(lines.join(_salted(often), ["host", "line", "salt"]), "quality-lines")
-    holders = seen.select("host", "line", "text").distinct()
-    # only lines in enough texts can be in enough classes
-    wide = holders.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most_surroundings).drop("n")
-    holders = materialise(holders.withColumn("salt", F.pmod(F.col("text"), F.lit(SALTS)).cast("int")).join(_salted(wide), ["host", "line", "salt"]).drop("salt"), "quality-holders")
-    classes = near_copies(docs, holders.select("text").distinct())
-    named = holders.join(classes, F.col("text") == F.col("node"), "left").select("host", "line", F.coalesce("label", "text").alias("class")).distinct()
-    boiler = named.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most_surroundings).drop("n")
-    hits = seen.join(_salted(boiler), ["host", "line", "salt"]).select("doc_id", "text", "place", "words").distinct()
-    return hits.groupBy("doc_id", "text").agg(F.sum("words").cast("long").alias("removed_words"), F.collect_list("place").alias("removed_lines"))
-
-
-def judge(docs: DataFrame, most_surroundings: int = 50, least_kept: float = 0.3, with_text: bool = True) -> DataFrame:
+def judge(docs: DataFrame, most_documents: int = 50, least_kept: float = 0.3, with_text: bool = True) -> DataFrame:
     """docs with the counts, removed_words, removed_lines, kept and (with_text) clean_text without boilerplate lines."""
     given = docs.select(*[F.col(f"`{c}`") for c in others(docs, MADE)])
-    removed = removed_lines(given.select("doc_id", "source", "text"), most_surroundings).withColumnsRenamed({"doc_id": "_doc", "text": "_text"})
-    counted = with_counts(given).withColumn("_key", text_key())
+    removed = removed_lines(given.select("doc_id", "source", "text"), most_documents).withColumnsRenamed({"doc_id": "_doc", "text": "_text", "host": "_of"})
+    counted = with_counts(given).withColumns({"_key": text_key(), "_host": _host(F.col("source"))})
     if not with_text:
         counted = counted.drop("text")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
-    out = counted.join(removed, same, "left").drop("_doc", "_text", "_key")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text")) & (F.col("_host") == F.col("_of"))
+    out = counted.join(removed, same, "left").drop("_doc", "_text", "_of", "_key", "_host")
     gone = F.coalesce(F.col("removed_words"), F.lit(0).cast("long"))
     out = out.withColumn("removed_words", gone).withColumn(
         "kept", ~F.col("base_failed") & (F.col("n_words") - gone >= least_kept * F.col("n_words")))

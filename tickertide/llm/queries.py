@@ -180,13 +180,9 @@ parts AS (SELECT r, source, text, unnest(string_split(text, chr(10))) AS s, gene
 l AS (
   SELECT *, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS n,
          trim(regexp_replace(regexp_replace(lower(s), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM parts),
-n AS (SELECT *, lag(line) OVER (PARTITION BY r ORDER BY i) AS p, lead(line) OVER (PARTITION BY r ORDER BY i) AS q FROM l WHERE n > 0),
-f AS (SELECT *, coalesce(p, q, '') AS before, coalesce(q, p, '') AS after FROM n),
+f AS (SELECT * FROM l WHERE n > 0),
 dup AS (SELECT r, count(*) - count(DISTINCT s) AS n FROM f GROUP BY r),
-boiler AS (
-  SELECT source, line FROM f GROUP BY source, line
-  HAVING least(count(DISTINCT before), count(DISTINCT after)) > 50
-    AND 2 * least(count(DISTINCT before), count(DISTINCT after)) >= count(DISTINCT text)),
+boiler AS (SELECT source, line FROM f GROUP BY source, line HAVING count(DISTINCT text) > 50),
 gone AS (
   SELECT r, CAST(sum(n) AS BIGINT) AS n FROM f JOIN boiler ON f.line = boiler.line AND f.source IS NOT DISTINCT FROM boiler.source GROUP BY r),
 c AS (
