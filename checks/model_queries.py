@@ -11,6 +11,7 @@ from checks.views_sql import with_views
 from tickertide.operators import evaluate as E
 from tickertide.operators import features as X
 from tickertide.operators import models as M
+from tickertide.operators import search as S
 from tickertide.operators import wrangle as W
 from tickertide.operators.stats import label_counts
 from tickertide.plans.feature_tables import build_features
@@ -205,6 +206,110 @@ def model_predictions(spark, folder):
     return found.select("model_name", "id", F.col("label").cast("int").alias("label"), _sound(p, F.col("prediction")).alias("sound"))
 
 
+# the vectors of the models in long form: terms, then scaled numbers not below 0
+_FEATURES = f"""
+feature_values AS (
+  SELECT id, CAST(idx AS BIGINT) AS idx, weight AS value FROM weights
+  UNION ALL
+  SELECT id, (SELECT count(*) FROM vocabulary) + j AS idx, greatest(v, 0) AS value FROM (
+    SELECT id, unnest(range({len(_NUMERIC)})) AS j, unnest([{", ".join(f"coalesce((coalesce({c}, 0) - lo_{c}) / nullif(hi_{c} - lo_{c}, 0)::DOUBLE, coalesce({c}, 0) - lo_{c})" for c in _NUMERIC)}]) AS v
+    FROM split, (SELECT {", ".join(f"min(coalesce({c}, 0)) AS lo_{c}, max(coalesce({c}, 0)) AS hi_{c}" for c in _NUMERIC)} FROM split WHERE split = 'train'))
+  WHERE v <> 0),
+dimension AS (SELECT count(*) + {len(_NUMERIC)} AS d FROM vocabulary)"""
+
+
+def _with_features(tables: str, body: str) -> str:
+    """A query over the feature values and further tables made from them."""
+    views = with_views("", "weights")
+    return f"{views.rstrip()},{_FEATURES}{',' if tables else ''}{tables}\n{body}"
+
+
+@check(
+    "feature_combined_vectors",
+    _with_features("", """
+SELECT split.split, feature_values.id, CAST(idx AS INT) AS idx, round(value, 6) AS value FROM feature_values JOIN split USING (id)"""),
+)
+def combined_vectors(spark, folder):
+    """Index and weight of every value of the stored vectors that the models read."""
+    path = new_path(spark, "features")
+    files.write_features(_tables(spark, folder).features, path)
+    stored = files.read_features(spark, path)
+    return rounded(S.entries(stored, "features_nonnegative", ["split", "id"]))
+
+
+@check(
+    "model_naive_bayes_scores",
+    _with_features(
+        """
+sums AS (
+  SELECT label, idx, coalesce(s, 0) AS s
+  FROM (SELECT DISTINCT idx FROM feature_values), (VALUES (0), (1), (2)) c(label)
+  LEFT JOIN (SELECT sentiment_label AS l, idx AS i, sum(value) AS s FROM feature_values JOIN split USING (id) WHERE split = 'train' GROUP BY ALL)
+    ON l = label AND i = idx),
+norms AS (SELECT label, ln(sum(s) + (SELECT d FROM dimension)) AS norm FROM sums GROUP BY label),
+priors AS (SELECT sentiment_label AS label, ln(count(*) + 1.0::DOUBLE) - ln((SELECT count(*) FROM split WHERE split = 'train') + 3.0::DOUBLE) AS prior
+           FROM split WHERE split = 'train' GROUP BY 1),
+joint AS (
+  SELECT f.id, s.label, any_value(prior) + sum(value * (ln(s + 1) - norm)) AS score
+  FROM feature_values f JOIN split p ON p.id = f.id AND p.split = 'test' JOIN sums s USING (idx) JOIN norms n ON n.label = s.label JOIN priors r ON r.label = s.label
+  GROUP BY f.id, s.label),
+shares AS (SELECT id, label, exp(score - max(score) OVER (PARTITION BY id)) AS e FROM joint)""",
+        """
+SELECT id, any_value(sentiment_label) AS label, round(sum(e) FILTER (shares.label = 0) / sum(e), 6) AS p0,
+       round(sum(e) FILTER (shares.label = 1) / sum(e), 6) AS p1, round(sum(e) FILTER (shares.label = 2) / sum(e), 6) AS p2
+FROM shares JOIN split USING (id) GROUP BY id""",
+    ),
+)
+def naive_bayes_scores(spark, folder):
+    """Class probabilities of the test rows by the fitted Naive Bayes model."""
+    found = _trained(spark, folder)[0].predictions.filter("model_name = 'naive_bayes'")
+    return rounded(found.select("id", F.col("label").cast("int").alias("label"), "p0", "p1", "p2"))
+
+
+@lru_cache(maxsize=4)
+def _folds(spark, folder):
+    return materialise(X.stratified_folds(_tables(spark, folder).features.filter("split = 'train'")), "folds")
+
+
+@check(
+    "model_search_naive_bayes",
+    _with_features(
+        f"""
+train AS (
+  SELECT id, sentiment_label AS label, (rn > round(0.2 * n))::INT + (rn > round(0.4 * n))::INT + (rn > round(0.6 * n))::INT + (rn > round(0.8 * n))::INT AS fold
+  FROM (SELECT id, sentiment_label, row_number() OVER (PARTITION BY sentiment_label ORDER BY md5(CAST(id AS VARCHAR) || '|42')) AS rn,
+               count(*) OVER (PARTITION BY sentiment_label) AS n FROM split WHERE split = 'train')),
+points AS (SELECT unnest({M.SMOOTHINGS}) AS smoothing),
+folds AS (SELECT DISTINCT fold FROM train),
+own AS (SELECT fold, label, idx, sum(value) AS s FROM feature_values JOIN train USING (id) GROUP BY ALL),
+whole AS (SELECT label, idx, sum(s) AS s FROM own GROUP BY ALL),
+sums AS (
+  SELECT fold, label, idx, greatest(coalesce(w.s, 0) - coalesce(o.s, 0), 0) AS s
+  FROM folds CROSS JOIN (VALUES (0), (1), (2)) c(label) CROSS JOIN (SELECT DISTINCT idx FROM own) i
+  LEFT JOIN whole w USING (label, idx) LEFT JOIN own o USING (fold, label, idx)),
+norms AS (SELECT fold, label, sum(s) AS total FROM sums GROUP BY ALL),
+priors AS (SELECT *, sum(n) OVER (PARTITION BY fold) AS rows FROM (
+  SELECT f.fold, t.label, count(*) FILTER (t.fold <> f.fold) AS n FROM folds f, train t GROUP BY f.fold, t.label)),
+joint AS (
+  SELECT t.id, t.fold, t.label, s.label AS guess, p.smoothing,
+         any_value(ln(r.n + p.smoothing) - ln(r.rows + 3 * p.smoothing)) + sum(v.value * (ln(s.s + p.smoothing) - ln(n.total + p.smoothing * d))) AS score
+  FROM feature_values v JOIN train t USING (id) JOIN sums s ON s.fold = t.fold AND s.idx = v.idx JOIN norms n ON n.fold = t.fold AND n.label = s.label
+  JOIN priors r ON r.fold = t.fold AND r.label = s.label, points p, dimension
+  GROUP BY t.id, t.fold, t.label, s.label, p.smoothing),
+guesses AS (SELECT smoothing, fold, label, CAST(arg_max(guess, (score, -guess)) AS INT) AS prediction FROM joint GROUP BY id, smoothing, fold, label),
+cells AS (
+  SELECT smoothing, fold, c.c, count(*) FILTER (label = c.c AND prediction = c.c) AS tp, count(*) FILTER (prediction = c.c) AS predicted,
+         count(*) FILTER (label = c.c) AS support FROM guesses, (VALUES (0), (1), (2)) c(c) GROUP BY smoothing, fold, c.c),
+scores AS (SELECT smoothing, fold, sum(support * coalesce(2.0::DOUBLE * tp / nullif(predicted + support, 0), 0)) / sum(support) AS f1 FROM cells GROUP BY smoothing, fold)""",
+        "SELECT CAST(smoothing AS DOUBLE) AS smoothing, round(avg(f1), 6) AS mean_f1 FROM scores GROUP BY smoothing",
+    ),
+)
+def search_naive_bayes(spark, folder):
+    """Mean F1 of every documented smoothing over the folds."""
+    means = S.search_bayes(_folds(spark, folder), M.SMOOTHINGS, "features_nonnegative")
+    return rounded(spark.createDataFrame(list(zip(M.SMOOTHINGS, means)), "smoothing double, mean_f1 double"))
+
+
 @lru_cache(maxsize=4)
 def _tuned(spark, folder):
     """Searches over the documented grids on all train rows; stored apart from the base models."""
