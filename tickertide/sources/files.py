@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickertide.schemas import COMMENT_JSON, RAW_POST, SUBMISSION_JSON
+from tickertide.sources.csv_records import read_records
 
 # CSV cells read as missing.
 MISSING_CELLS = [
@@ -20,15 +21,22 @@ def _require(spark: SparkSession, path: str, hint: str) -> None:
 
 
 def _csv_cells(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The cells as text, missing ones as null."""
+    """The cells as text, missing ones as null. Each file starts with a header of the schema's names."""
     _require(spark, path, "collect posts first")
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    table = spark.read.schema(as_text).csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
-    return table.select(*[F.when(~F.col(f.name).isin(*MISSING_CELLS), F.col(f.name)).alias(f.name) for f in schema])
+    records, names = read_records(spark, path), [f.name for f in schema]
+    options = {"escape": '"', "multiLine": "true"}
+    header = F.from_csv(F.ltrim("record", F.lit("\ufeff")), ", ".join(f"c{i} string" for i in range(len(names) + 1)), options)
+    titles = F.array(*[F.coalesce(header[f"c{i}"], F.lit("")) for i in range(len(names) + 1)])
+    fits = titles == F.array(*[F.lit(n) for n in [*names, ""]])
+    wrong = F.raise_error(F.concat(F.lit(f"the header of a file in {path} is not {','.join(names)} but "), F.col("record")))
+    kept = records.filter(F.when(F.col("first"), F.when(fits, F.lit(False)).otherwise(wrong.cast("boolean"))).otherwise(True))
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    table = kept.select(F.from_csv("record", as_text.toDDL(), options).alias("row")).select("row.*")
+    return table.select(*[F.when(~F.col(n).isin(*MISSING_CELLS), F.col(n)).alias(n) for n in names])
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_POST) -> DataFrame:
-    """Raw posts from CSV with quoted line breaks. Such files cannot be split: land them as parquet.
+    """Raw posts from CSV with quoted line breaks, each file in as many tasks as it has splits.
 
     A cell that does not fit its type is null; rejected_cells lists these.
     """
