@@ -22,6 +22,21 @@ def test_first_rows_are_combined_before_the_shuffle(spark):
     assert "partial_min" in plan(K.first_per_key(table, ["k"], ["id"]))
 
 
+def test_texts_do_not_move_when_copies_are_dropped(spark, tmp_path, monkeypatch):
+    from tickertide.operators import keyed, wrangle
+
+    path = str(tmp_path / "posts")
+    spark.range(100).select("id", F.concat(F.lit("text "), (F.col("id") % 60).cast("string")).alias("text"), F.current_timestamp().alias("created_at")).write.parquet(path)
+    written = []
+    monkeypatch.setattr(keyed, "materialise", lambda df, name, write=keyed.materialise: written.append((name, df.columns)) or write(df, name))
+    kept = wrangle.drop_copies(spark.read.parquet(path))
+    assert [w[0] for w in written] == ["row-places", "row-marks"] and not any("text" in w[1] for w in written)
+    assert kept.count() == 60
+    # only the marks move
+    found = plan(kept)
+    assert "BroadcastHashJoin" in found and "Exchange hashpartitioning" not in found
+
+
 def test_counting_reads_no_column(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.range(5).select("id", F.lit("s").alias("subreddit"), F.lit("t").alias("text")).write.parquet(path)

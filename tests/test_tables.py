@@ -23,6 +23,20 @@ def test_first_per_key_for_any_partitioning(spark):
         assert sorted(map(tuple, found.collect())) == [("a", None, 9, 3), ("b", 3, 0, 2)]
 
 
+def test_first_of_wide_rows(spark, tmp_path):
+    rows = [("a", 2, 5), ("a", 1, 7), ("a", None, 9), ("b", 3, 1), ("b", 3, 1), (None, 1, 1), (None, 0, 2), ("c", 1, 1)]
+    table = spark.createDataFrame(rows, "k string, o int, v int").withColumn("m", F.create_map(F.lit("x"), F.col("v")))
+    for parts in (1, 3, 17):
+        path = str(tmp_path / str(parts))
+        table.repartition(parts).write.parquet(path)
+        # a scan, a filtered scan, and rows that are in no file
+        for given in (spark.read.parquet(path), spark.read.parquet(path).filter("v > 0").withColumn("o", F.col("o") + 0), table.repartition(parts)):
+            found = K.first_of_wide_rows(given, F.col("k"), ["o"], "n")
+            assert found.columns == ["k", "o", "v", "m", "n"]
+            assert sorted((r["k"] or "", r["o"], r["v"], r["m"]["x"], r["n"]) for r in found.collect()) == [("", 0, 2, 2, 2), ("a", None, 9, 9, 3), ("b", 3, 1, 1, 2), ("c", 1, 1, 1, 1)]
+    assert K.first_of_wide_rows(table.limit(0), F.col("k"), ["o"]).count() == 0
+
+
 def test_join_on_a_hot_key(spark):
     many = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
     one = spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickertide.sources.handover import materialise
+
 
 def first_per_key(
     df: DataFrame, keys: list[str], order: list[str], copies: str | None = None
@@ -21,6 +23,37 @@ def first_per_key(
     return named.select(*df.columns, *([copies] if copies else []))
 
 
+def _has_places(df: DataFrame) -> bool:
+    """Can each row be named by its file and its number in the file? Rows of one scan can, those of a join cannot."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    kinds = [hidden.apply(i).dataType().simpleString() for i in range(hidden.size())]
+    return len(kinds) == 1 and "row_index" in kinds[0]
+
+
+def first_of_wide_rows(df: DataFrame, key: Column, order: list[str], copies: str | None = None) -> DataFrame:
+    """Keep the first row per key by ascending `order` (nulls first), without moving wide rows to find it.
+
+    Key, order and the place of a row (file and number in it) are written as a narrow table; only they are aggregated. Of groups of
+    several rows, the others are then taken out of the table by their places. A table that is no scan of
+    files is written first. Rows that agree in key and order are told apart by a hash of their columns, then by place.
+    """
+    table = df if _has_places(df) else materialise(df, "wide-rows")
+    rest = [c for c, kind in table.dtypes if c not in order and "map<" not in kind]
+    place = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    narrow = table.select(key.alias("_key"), *order, F.xxhash64(*rest).alias("_content") if rest else F.lit(0).alias("_content"), *[v.alias(k) for k, v in place.items()])
+    narrow = materialise(narrow, "row-places")
+    found = narrow.groupBy("_key").agg(F.min(F.struct(*order, "_content", "_file", "_row")).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    groups = found.filter("_n > 1").select("_key", F.col("_first._file").alias("_first_file"), F.col("_first._row").alias("_first_row"), "_n")
+    is_first = (F.col("_file") == F.col("_first_file")) & (F.col("_row") == F.col("_first_row"))
+    # null keys are a group too
+    marks = narrow.select("_key", "_file", "_row").join(groups.withColumnRenamed("_key", "_group"), F.col("_key").eqNullSafe(F.col("_group")))
+    # written, so that its size is known before the wide table is read: few rows are broadcast and nothing else moves
+    marks = materialise(marks.select("_file", "_row", is_first.alias("_stays"), "_n"), "row-marks")
+    marked = table.withColumns(place).join(marks, ["_file", "_row"], "left").filter(F.coalesce("_stays", F.lit(True)))
+    counted = [F.coalesce("_n", F.lit(1).cast("long")).alias(copies)] if copies else []
+    return marked.select(*df.columns, *counted)
+
+
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     """Keep the first k rows per key; Spark limits each group per task before the shuffle."""
     window = Window.partitionBy(*keys).orderBy(*order)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tickertide.functions.text import (
     clean_tokens, drop_noise, drop_stopwords, join_tokens, word_count,
 )
-from tickertide.operators.keyed import first_per_key
+from tickertide.operators.keyed import first_of_wide_rows
 from tickertide.operators.lemmas import lemmatise
 from tickertide.operators.ordered import quantiles_per_key
 from tickertide.settings import LABEL_CODES
@@ -17,10 +17,9 @@ def drop_missing(df: DataFrame) -> DataFrame:
 
 
 def drop_copies(df: DataFrame, copies: str | None = None) -> DataFrame:
-    """One row per exact text: the earliest, then the smallest id. Texts are shuffled and sorted by their digest."""
+    """One row per exact text: the earliest, then the smallest id. Texts are told apart by digests and do not move."""
     order = [c for c in ("created_at", "id") if c in df.columns]
-    hashed = df.withColumn("_digest", F.sha2("text", 256))
-    return first_per_key(hashed, ["_digest"], order, copies).drop("_digest")
+    return first_of_wide_rows(df, F.unhex(F.sha2("text", 256)), order, copies)
 
 
 def add_full_clean(
