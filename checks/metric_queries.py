@@ -343,8 +343,27 @@ def stream_first_arrivals(spark, folder):
 def stream_window_counts(spark, folder):
     stream = jobs.counted_windows(V.as_metric_events(_event_stream(spark, folder)), ["subreddit"], "1 hour", "1 hour")
     path = new_path(spark, "windows")
-    query = jobs.upsert_windows(stream, path, path + "-checkpoint", available_now=True)
-    return times_as_text(jobs.latest_windows(_written(spark, query, path), ["subreddit"]))
+    jobs.upsert_windows(stream, path, path + "-checkpoint", ["subreddit"], "1 hour", available_now=True, compact_every=1).awaitTermination()
+    return times_as_text(jobs.latest_windows(spark, path, ["subreddit"]))
+
+
+@check(
+    "stream_sliding_increase",
+    with_views(
+        f"""
+SELECT {time_text('w')} AS window_start, {time_text('w + INTERVAL 6 HOUR')} AS window_end, subreddit, count(*) AS increase
+FROM (SELECT subreddit, date_trunc('hour', ts) - i * INTERVAL 1 HOUR AS w FROM metric, range(0, 6) r(i) WHERE kind = 'scrape_error'),
+     (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM metric WHERE kind = 'scrape_error')
+WHERE w + INTERVAL 6 HOUR <= watermark GROUP BY w, subreddit""",
+        "metric",
+    ),
+)
+def stream_sliding_increase(spark, folder):
+    """Sums over panes, appended when a window has closed."""
+    stream = V.as_metric_events(_event_stream(spark, folder)).filter("kind = 'scrape_error'")
+    path = new_path(spark, "increases")
+    query = jobs.append_to(jobs.finished_increases(stream, ["subreddit"], "6 hours", "1 hour", "1 hour"), path, path + "-checkpoint", available_now=True)
+    return times_as_text(_written(spark, query, path))
 
 
 @check("stream_scored_posts", "SELECT doc_id AS id, 'logistic_regression' AS model_used, true AS sound FROM documents")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickertide.operators.features import TermWeights
-from tickertide.operators.metrics import sliding_increase, windowed_counts, windowed_rate
+from tickertide.operators.metrics import pane_counts, sliding_increase, windowed_counts, windowed_rate
 from tickertide.operators.models import score_texts
+from tickertide.streaming.upserts import latest_windows, upsert_windows  # noqa: F401
 
 
 def first_arrivals(posts: DataFrame, delay: str = "1 day", time: str = "created_at") -> DataFrame:
@@ -26,9 +27,15 @@ def rated_windows(events: DataFrame, labels: list[str], length: str, delay: str)
 
 
 def increased_windows(events: DataFrame, labels: list[str], length: str, slide: str, delay: str) -> DataFrame:
+    """Sliding windows that a stream may update before they are closed: each event is counted in every window it is in."""
     return sliding_increase(events, labels, length, slide, delay)
 
 
+def finished_increases(events: DataFrame, labels: list[str], length: str, slide: str, delay: str) -> DataFrame:
+    """Sliding windows that a stream appends when they are closed, as sums over panes: an event is counted once."""
+    return pane_counts(events, labels, length, slide, delay).withColumnRenamed("n", "increase")
+
+
 def scored_posts(
     posts: DataFrame, model: Model, model_name: str, weights: TermWeights, numeric: list[str], lemmas: DataFrame | None = None
 ) -> DataFrame:
@@ -61,23 +68,3 @@ def append_to(
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start()
-
-
-def upsert_windows(stream: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Write every changed window of every batch with its batch number; read with latest_windows."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        # one folder per batch: a repeated batch replaces its own rows
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.foreachBatch(write).start()
-
-
-def latest_windows(written: DataFrame, labels: list[str]) -> DataFrame:
-    """The last written state of every window."""
-    keys = ["window_start", "window_end", *labels]
-    values = [c for c in written.columns if c not in keys and c != "batch"]
-    latest = written.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_latest"))
-    return latest.select(*keys, "_latest.*")
