@@ -83,6 +83,27 @@ def test_feature_dimension(tables):
     assert "common" not in tables.weights.terms and "crash fear" in tables.weights.terms
 
 
+def test_stored_vectors_are_the_assembled_ones(spark, tables, processed, monkeypatch, tmp_path):
+    from pyspark.sql import DataFrameWriter
+
+    from tickertide.plans import feature_tables
+
+    split = X.stratified_split(processed)
+    scaled, numeric = X.apply_scaler(split, tables.scaler)
+    # a number below 0 is kept in one vector and cut in the other
+    scaled = scaled.withColumn(numeric[0], F.col(numeric[0]) - 0.5)
+    plans = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, write=DataFrameWriter.parquet: plans.append(self._df._jdf.queryExecution().optimizedPlan().toString()) or write(self, path))
+    stored = feature_tables.write_vectors(tables.weights.add_stored(scaled), numeric, str(tmp_path / "vectors"))
+    assert len(plans) == 1 and "from_json" not in plans[0] and "to_json" not in plans[0]
+    assembled = M.with_feature_blocks(tables.weights.add_vector(scaled), numeric)
+    wanted = {r["id"]: r for r in assembled.collect()}
+    for r in stored.collect():
+        for c in ("features", "features_nonnegative"):
+            assert r[c].size == wanted[r["id"]][c].size and list(r[c].toArray()) == list(wanted[r["id"]][c].toArray())
+    assert any(min(r["features"].toArray()) < 0 for r in wanted.values())
+
+
 def test_train_tune_store_and_score(spark, tables, tmp_path):
     small = {"random_forest": {"numTrees": 5, "maxDepth": 4}, "logistic_regression": {"maxIter": 30}}
     folder = str(tmp_path)

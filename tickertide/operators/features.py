@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickertide.functions.text import feature_words, is_blank, let, ngram_range
-from tickertide.functions.vectors import sparse_vector, vector_parts
+from tickertide.functions.vectors import sparse_vector, stored_vector, vector_parts
 from tickertide.operators.keyed import top_per_key
 from tickertide.operators.ordered import hash_of, hash_order_cuts
 from tickertide.operators.stats import existing
@@ -140,6 +140,11 @@ class TermWeights:
         hint = VectorSizeHint(inputCol=out, size=size, handleInvalid="optimistic")
         return hint.transform(built.drop("_at", "_weights"))
 
+    def add_stored(self, df: DataFrame, text: str = "cleaned_text", out: str = "tfidf") -> DataFrame:
+        """The vector in its stored form, for a table that is written next."""
+        weighted = self.add_weights(df, text)
+        return weighted.withColumn(out, stored_vector(max(1, len(self.terms)), F.col("_at"), F.col("_weights"))).drop("_at", "_weights")
+
     def weights_table(self, df: DataFrame, columns: list[str], text: str = "cleaned_text") -> DataFrame:
         """Long form: the given columns, idx, weight."""
         pairs = F.arrays_zip(F.col("_at").alias("idx"), F.col("_weights").alias("weight"))
@@ -181,6 +186,16 @@ def combine(df: DataFrame, numeric: list[str], out: str = "features", tfidf: str
     return VectorAssembler(inputCols=[tfidf, *numeric], outputCol=out).transform(df)
 
 
+def combine_stored(stored: Column, numbers: list[Column]) -> Column:
+    """TF-IDF block, then the numbers that are not 0, in one vector in stored form."""
+    row = F.array(*[n.cast("double") for n in numbers])
+    known = F.filter(F.sequence(F.lit(0), F.lit(len(numbers) - 1)), lambda i: F.get(row, i) != 0) if numbers else F.array().cast("array<int>")
+    return stored_vector(
+        stored["size"] + len(numbers), F.concat(stored["indices"], F.transform(known, lambda i: stored["size"] + i)),
+        F.concat(stored["values"], F.transform(known, lambda i: F.get(row, i))),
+    )
+
+
 def top_terms(weights: DataFrame, vocabulary: DataFrame, documents: int | Column, k: int = 20) -> DataFrame:
     """Terms by mean weight over all documents, those without the term counting as 0."""
     summed = weights.groupBy("idx").agg((F.sum("weight") / documents).alias("mean_weight"))
