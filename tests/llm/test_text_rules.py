@@ -157,6 +157,48 @@ def test_license_places(spark):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+def plain_passages(text, least=0.6):
+    """Labels of the longer templates: four-word windows in the order of the template, on diagonals at most NEIGHBOURS apart."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    grams, labels = {}, set()
+    for i in range(len(words) - 3):
+        grams.setdefault(tuple(words[i : i + 4]), []).append(i)
+    for passage, label in licenses.PASSAGES:
+        t = passage.split()
+        needed = len(t) - 3
+        points = sorted((p, a) for a in range(needed) for p in grams.get(tuple(t[a : a + 4]), ()))
+        for low in {p - a for p, a in points}:
+            chains = []
+            for p, a in [x for x in points if low <= x[0] - x[1] <= low + licenses.NEIGHBOURS]:
+                chains.append((p, a, 1 + max((n for q, b, n in chains if q < p and b < a), default=0)))
+            if chains and max(c[2] for c in chains) >= least * needed:
+                labels.add(label)
+    return labels
+
+
+def test_longer_templates_are_verified_in_order(spark):
+    import random
+
+    rng = random.Random(5)
+    texts = ["released under the mit released under the mit", "released under the mit license released under the mit license", "under the mit license released under the mit"]
+    for passage, _ in licenses.PASSAGES:
+        t = passage.split()
+        texts += [passage.upper(), " ".join(t[:-1]), " ".join(t[len(t) // 2 :]), " ".join(t[len(t) // 2 :] + t[: len(t) // 2]), " ".join(t[:6]) + " well known " + " ".join(t[6:]), " ".join(t + t)]
+        for _ in range(6):
+            cut = list(t)
+            for _ in range(rng.randrange(1, 4)):
+                k = rng.randrange(len(cut))
+                cut[k : k + rng.randrange(2)] = rng.choice([["x"], [], ["x", "y", "z"], cut[:3]])
+            texts.append(" ".join(["before", *cut, "after"]))
+    # two templates that overlap, and very many copies at a distance of four words
+    texts += [licenses.PASSAGES[0][0] + " the license you may not use this file except in compliance with the license", "released under the mit " * 2000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: {p["label"] for p in r["places"] if not p["base"]} for r in licenses.scan_licenses(docs).collect()}
+    assert found == {k: plain_passages(t) for k, t in enumerate(texts)}
+    assert found[0] == set() and found[1] == {"mit"} and sum(map(bool, found.values())) > 20
+    assert all(0 <= r["score"] <= 1 for r in licenses.scan_licenses(docs).collect())
+
+
 def test_license_query_on_test_tables(spark):
     texts = {r["doc_id"]: r["text"] for r in Q.table(spark, SMALL, "documents").collect()}
     rows = Q.QUERIES["op6_license_scan"](spark, SMALL).collect()

@@ -3,9 +3,11 @@
 Texts are lower-cased (A-Z) and cut into words. The hashes of all rolling word pairs (and of the four words
 from there) are joined to the places where they stand in the templates, a constant table. A hit
 votes for the diagonal: its place in the text minus its place in the template. Votes are counted
-per document, template and diagonal; for long templates, neighbouring diagonals (words put in or left
-out) are merged. A short phrase is found where all its pairs voted for one diagonal; a long template
-where at least `least` of its four-word hashes did. All of it is DataFrame functions.
+per document, template and diagonal, each place of the template once. A short phrase is found where all its
+pairs voted for one diagonal. For long templates the votes of diagonals at most NEIGHBOURS apart (words put in or left
+out) are taken together and verified: the longest sequence of hits that ascends in the text and in the template must
+hold at least `least` of the template's four-word hashes, so words out of order or said twice do not count. Of a
+chain of neighbouring diagonals the best such place is reported. All of it is DataFrame functions.
 
 The templates are constants of this module, so the broadcast table has a fixed size. Rows are kept apart
 by doc_id and text hash.
@@ -73,17 +75,39 @@ def vote(docs: DataFrame, least: float = 0.6) -> DataFrame:
     hits = grams.join(templates, on).select(
         "doc_id", "key", "template", "label", "base", "needed", "at", (F.col("place") - F.col("at")).alias("diagonal"))
     by = ["doc_id", "key", "template", "label", "base", "needed"]
-    # a repeated row votes once
-    diagonals = hits.distinct().groupBy(*by, "diagonal").agg(
-        F.count("*").alias("votes"), F.min(F.col("diagonal") + F.col("at")).alias("start"), F.max(F.col("diagonal") + F.col("at")).alias("stop"))
-    ordered = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal")
-    fresh = F.col("base") | (F.coalesce(F.col("diagonal") - F.lag("diagonal").over(ordered), F.lit(NEIGHBOURS + 1)) > NEIGHBOURS)
-    runs = diagonals.withColumn("fresh", fresh.cast("int")).withColumn("run", F.sum("fresh").over(ordered))
-    merged = runs.groupBy(*by, "run").agg(F.sum("votes").alias("votes"), F.min("start").alias("start"), F.max("stop").alias("stop"))
-    coverage = F.least(F.lit(1.0), F.col("votes") / F.col("needed"))
-    size = F.when(F.col("base"), F.lit(PAIR)).otherwise(F.lit(LONG))
-    found = merged.withColumn("coverage", coverage).filter(F.when(F.col("base"), F.col("votes") == F.col("needed")).otherwise(F.col("coverage") >= least))
-    return found.select("doc_id", "key", "label", "base", "start", (F.col("stop") + size).alias("end"), "coverage")
+    # a repeated row votes once, and so does a place of the template
+    diagonals = hits.groupBy(*by, "diagonal").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    found = ["doc_id", "key", "label", "base", "start", "end", "coverage"]
+
+    whole = diagonals.filter(F.col("base") & (F.size("ats") == F.col("needed")))
+    phrases = whole.select("doc_id", "key", "label", "base", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("needed") - 1 + PAIR).alias("end"), F.lit(1.0).alias("coverage"))
+
+    along = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal")
+    near = F.collect_list(F.struct("diagonal", "ats")).over(along.rangeBetween(0, NEIGHBOURS))
+    fresh = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along), F.lit(NEIGHBOURS + 1)) > NEIGHBOURS
+    runs = diagonals.filter(~F.col("base")).withColumns({"near": near, "fresh": fresh.cast("int")}).withColumn("run", F.sum("fresh").over(along))
+    seen = F.size(F.array_distinct(F.flatten(F.transform("near", lambda d: d["ats"]))))
+    points = F.array_sort(F.flatten(F.transform("near", lambda d: F.transform(d["ats"], lambda a: F.struct((d["diagonal"] + a).alias("place"), a.alias("at"))))))
+    chains = runs.filter(seen >= least * F.col("needed")).withColumn("chain", longest_chain(points)).withColumn("coverage", F.col("chain.n") / F.col("needed"))
+    best = chains.filter(F.col("coverage") >= least).groupBy(*by, "run").agg(F.max(F.struct("coverage", "chain")).alias("best"))
+    passages = best.select("doc_id", "key", "label", "base", F.col("best.chain.start").alias("start"), (F.col("best.chain.stop") + LONG).alias("end"), F.col("best.coverage").alias("coverage"))
+    return phrases.unionByName(passages).select(*found)
+
+
+def longest_chain(points: Column) -> Column:
+    """Struct (n, start, stop) of the longest sequence of points (place, at) that ascends in both; points ascend."""
+    kind = "array<struct<place:int,at:int,n:int,start:int>>"
+
+    def add(chains, p):
+        before = F.filter(chains, lambda q: (q["place"] < p["place"]) & (q["at"] < p["at"]))
+        longest = F.array_max(F.transform(before, lambda q: F.struct(q["n"].alias("n"), q["start"].alias("start"))))
+        made = F.struct(
+            p["place"].alias("place"), p["at"].alias("at"), (F.coalesce(longest["n"], F.lit(0)) + 1).alias("n"),
+            F.coalesce(longest["start"], p["place"]).alias("start"))
+        return F.concat(chains, F.array(made)).cast(kind)
+
+    every = F.aggregate(points, F.array().cast(kind), add)
+    return F.array_max(F.transform(every, lambda q: F.struct(q["n"].alias("n"), q["start"].alias("start"), q["place"].alias("stop"))))
 
 
 def scan_licenses(docs: DataFrame, least: float = 0.6, keep: list[str] | None = None) -> DataFrame:
