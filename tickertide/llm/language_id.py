@@ -27,6 +27,11 @@ from tickertide.sources.handover import materialise
 ORDER = 4
 MADE = "lang_pred string, score double, bits double"
 _LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """A character of category L; signs such as ² and Ⅷ are words to the pattern, but no letters."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
 _SLOTS = 21
 
 
@@ -169,7 +174,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
             cache.append(Cache(sent.value))
         names = sent.value.languages
         texts = [t or b"" for t in given["text"]]
-        lettered = [bool(names) and _LETTER.search(t.decode("utf-8", "replace")) is not None for t in texts]
+        lettered = [bool(names) and has_letter(t.decode("utf-8", "replace")) for t in texts]
         use = [t for t, ok in zip(texts, lettered, strict=True) if ok]
         out = {"lang_pred": [], "score": [], "bits": []}
         totals = iter(())
