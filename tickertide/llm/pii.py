@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickertide.llm.common import map_rows, small_batches
-from tickertide.llm.secret_scan import code_point
+from tickertide.llm.secret_scan import code_points
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "local_phone", "national_id", "iban", "person", "birth_date")
@@ -274,7 +274,8 @@ def find_personal_data(
         for text, rows in zip(given["text"], found, strict=True):
             scored = [(a, b, kind, s) for (a, b, kind, _), s in zip(rows, scores, strict=False)] if rows else []
             taken = [c for c in scored if c[2] in BASE or c[3] >= accept]
-            spans.append([{"kind": kind, "start": code_point(text, a), "end": code_point(text, b), "score": s} for a, b, kind, s in taken])
+            starts, ends = code_points(text, [t[0] for t in taken]), code_points(text, [t[1] for t in taken])
+            spans.append([{"kind": kind, "start": a, "end": b, "score": s} for (_, _, kind, s), a, b in zip(taken, starts, ends)])
             texts.append(masked(text, [c[:3] for c in taken]).decode("utf-8", "replace") if with_text and text is not None else None)
         return {"spans": spans, "clean_text": texts}
 
