@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tickertide.functions.text import let
 from tickertide.llm.common import FOLDED_GAP, fold, others, text_key
+from tickertide.sources.handover import materialise
 
 #: Short phrases: (phrase, label).
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -76,7 +77,7 @@ def vote(docs: DataFrame, least: float = 0.6) -> DataFrame:
         "doc_id", "key", "template", "label", "base", "needed", "at", (F.col("place") - F.col("at")).alias("diagonal"))
     by = ["doc_id", "key", "template", "label", "base", "needed"]
     # a repeated row votes once, and so does a place of the template
-    diagonals = hits.groupBy(*by, "diagonal").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    diagonals = materialise(hits.groupBy(*by, "diagonal").agg(F.array_sort(F.collect_set("at")).alias("ats")), "license-diagonals")
     found = ["doc_id", "key", "label", "base", "start", "end", "coverage"]
 
     whole = diagonals.filter(F.col("base") & (F.size("ats") == F.col("needed")))
