@@ -7,7 +7,6 @@ from checks.views_sql import with_views
 from tickertide.operators import ingest as I
 from tickertide.operators import lexicon as L
 from tickertide.operators import wrangle as W
-from tickertide.operators.stats import report_json
 from tickertide.schemas import RAW_POST
 from tickertide.sources import files
 from tickertide.sources import sample_views as V
@@ -91,14 +90,6 @@ def landed_json_comments(spark, folder):
     return comments.select("id", "post_id", "subreddit", "text", "score")
 
 
-@check("report_scan", "SELECT count(*) AS total_posts FROM documents")
-def report_scan(spark, folder):
-    path = new_path(spark, "report")
-    derived = W.add_derived_columns(V.posts(spark, folder).withColumn("cleaned_text", F.lower("text")))
-    files.write_report(report_json(derived), path)
-    return files.read_report(spark, path).select("total_posts")
-
-
 @check("ingest_full_text", "SELECT doc_id, regexp_replace(source || ' ' || text, '^\\s+|\\s+$', '', 'g') AS out FROM documents")
 def full_text(spark, folder):
     return V.table(spark, folder, "documents").select("doc_id", I.full_text("source", "text").alias("out"))

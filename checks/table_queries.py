@@ -1,7 +1,8 @@
 """Checks of wrangling, statistics and chart data."""
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import check, rounded, time_text, times_as_text
@@ -10,8 +11,9 @@ from tickertide.operators import charts as C
 from tickertide.operators import stats as S
 from tickertide.operators import wrangle as W
 from tickertide.plans.preprocess import preprocess
+from tickertide.sources import files
 from tickertide.sources import sample_views as V
-from tickertide.sources.handover import materialise
+from tickertide.sources.handover import materialise, new_path
 
 SENTIMENTS = "(VALUES (0, 'positive'), (1, 'neutral'), (2, 'negative')) o(position, sentiment)"
 
@@ -292,6 +294,49 @@ def report(spark, folder):
     )
 
 
+_REPORT_STATS = ["mean", "median", "std", "min", "max", "q25", "q75"]
+_REPORT_NUMBERS = ["score", "num_comments", "word_count", "engagement"]
+
+
+@check(
+    "report_scan",
+    with_views(
+        f"""
+SELECT 'total_posts' AS part, '' AS name, count(*)::DOUBLE AS value FROM derived
+UNION ALL SELECT 'count', sentiment, count(*) FROM derived GROUP BY sentiment
+UNION ALL SELECT 'percentage', sentiment, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM derived), 2) FROM derived GROUP BY sentiment
+UNION ALL SELECT 'community', subreddit || '|' || sentiment, count(*) FROM derived GROUP BY subreddit, sentiment
+UNION ALL SELECT 'word', sentiment || '|' || word, row_number() OVER (PARTITION BY sentiment ORDER BY n DESC, word) - 1 FROM ({_top_words_sql(20)})
+UNION ALL SELECT 'plot', unnest({S.REPORT_PLOTS}), unnest(range({len(S.REPORT_PLOTS)}))
+UNION ALL SELECT 'number', "column" || '|' || stat, round(value, 2) FROM (
+  UNPIVOT ({_describe_sql(_REPORT_NUMBERS, "derived")}) ON {", ".join(_REPORT_STATS)} INTO NAME stat VALUE value)""",
+        "derived",
+    ),
+)
+def report_scan(spark, folder):
+    """Every field of the stored report, read again."""
+    path = new_path(spark, "report")
+    files.write_report(S.report_json(derived(spark, folder)), path)
+    found = files.read_report(spark, path)
+
+    def rows(part, entries):
+        return found.select(F.explode(entries).alias("e")).select(F.lit(part).alias("part"), F.col("e.name").alias("name"), F.col("e.value").cast("double").alias("value"))
+
+    def entry(name, value):
+        return F.struct(name.alias("name"), value.cast("double").alias("value"))
+
+    shares, numbers = F.map_entries("sentiment_distribution"), F.map_entries("numeric_stats")
+    nested = F.flatten(F.transform(F.map_entries("subreddit_breakdown"), lambda c: F.transform(F.map_entries(c["value"]), lambda s: entry(F.concat_ws("|", c["key"], s["key"]), s["value"]))))
+    words = F.flatten(F.transform(F.map_entries("top_words"), lambda w: F.transform(w["value"], lambda x, i: entry(F.concat_ws("|", w["key"], x), i))))
+    stats = F.flatten(F.transform(numbers, lambda n: F.array(*[entry(F.concat_ws("|", n["key"], F.lit(s)), n["value"][s]) for s in _REPORT_STATS])))
+    parts = [
+        rows("total_posts", F.array(entry(F.lit(""), F.col("total_posts")))), rows("count", F.transform(shares, lambda e: entry(e["key"], e["value"]["count"]))),
+        rows("percentage", F.transform(shares, lambda e: entry(e["key"], e["value"]["percentage"]))), rows("community", nested), rows("word", words),
+        rows("plot", F.transform("available_plots", lambda p, i: entry(p, i))), rows("number", stats),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- chart data ---------------------------------------------------------------------------
 
 

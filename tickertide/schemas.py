@@ -37,3 +37,15 @@ RAW_POST = _struct(
 )
 
 REQUEST = _struct(("id", _LONG), ("text", _TEXT), ("model", _TEXT))
+
+#: The written report: sections by sentiment, community and column are maps.
+_DOUBLE = T.DoubleType()
+_BY_NAME = lambda kind: T.MapType(_TEXT, kind)
+REPORT_JSON = _struct(
+    ("total_posts", _LONG),
+    ("sentiment_distribution", _BY_NAME(_struct(("count", _LONG), ("percentage", _DOUBLE)))),
+    ("subreddit_breakdown", _BY_NAME(_BY_NAME(_LONG))),
+    ("numeric_stats", _BY_NAME(_struct(*[(s, _DOUBLE) for s in ("mean", "median", "std", "min", "max", "q25", "q75")]))),
+    ("top_words", _BY_NAME(T.ArrayType(_TEXT))),
+    ("available_plots", T.ArrayType(_TEXT)),
+)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickertide.schemas import COMMENT_JSON, RAW_POST, SUBMISSION_JSON
+from tickertide.schemas import COMMENT_JSON, RAW_POST, REPORT_JSON, SUBMISSION_JSON
 from tickertide.sources.csv_records import read_records
 
 # CSV cells read as missing.
@@ -102,8 +102,9 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The report as one row; sections by sentiment, community and column are maps."""
     _require(spark, path, "run the report job first")
-    return spark.read.json(path)
+    return spark.read.schema(REPORT_JSON).json(path)
 
 
 def write_features(features: DataFrame, path: str) -> None:
