@@ -6,7 +6,7 @@ from checks.registry import check, rounded
 from checks.views_sql import clean, quoted, tokens, with_views, words
 from tickertide.functions import text as T
 from tickertide.functions.tickers import extract_tickers, has_ticker, ticker_list
-from tickertide.functions.wordlists import NOISE_WORDS, NOT_TICKERS, STOPWORDS
+from tickertide.functions.wordlists import BOOST_DOWN, BOOST_UP, NEGATIONS, NOISE_WORDS, NOT_TICKERS, STOPWORDS
 from tickertide.operators import ingest as I
 from tickertide.operators import lexicon as L
 from tickertide.operators import metrics as P
@@ -177,7 +177,60 @@ def sentiment_plain_sum(spark, folder):
     return L.score_sentiment(posts, V.lexicon(spark), rules=False).select("id", "vader_compound", "sentiment")
 
 
-@check("sentiment_with_rules")
+_WORD_CHARACTER = "[\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}]"
+_MARKS = "[!-/:-@\\[-`{-~]+"
+_BARE = f"regexp_replace(regexp_replace(w, '({_WORD_CHARACTER}{{2}}){_MARKS}$', '\\1'), '^{_MARKS}({_WORD_CHARACTER}{{2}})', '\\1')"
+
+
+def _looked_back(score: str, back: int) -> str:
+    """The score after the word `back` places before: boosters push it, negations turn it."""
+    pushed = f"({score} + CASE WHEN boost{back} <> 0 THEN CASE WHEN {score} < 0 THEN -1 ELSE 1 END * (boost{back} + CASE WHEN mixed AND capital{back} THEN 0.733::DOUBLE ELSE 0 END) ELSE 0 END * {L.DAMPING[back]}::DOUBLE)"
+    never = {1: "false", 2: "lower1 IN ('so', 'this')", 3: "(lower2 IN ('so', 'this') OR lower1 IN ('so', 'this'))"}[back]
+    turned = f"CASE WHEN lower{back} = 'never' AND {never} THEN {pushed} * {L.NEVER_SO.get(back, 1)}::DOUBLE WHEN negates{back} THEN {pushed} * -0.74::DOUBLE ELSE {pushed} END"
+    return f"CASE WHEN lower{back} IS NOT NULL AND valence{back} IS NULL THEN {turned} ELSE {score} END"
+
+
+def _rules_sql(source: str) -> str:
+    """(id, vader_compound) of a view with id and text, by the published rules as steps over a table of words."""
+    back = ", ".join(f"lag({c}, {k}) OVER place AS {c}{k}" for k in (1, 2, 3) for c in ("lower", "boost", "negates", "capital", "valence"))
+    return f"""
+SELECT t.id, CASE WHEN trim(t.text, ' ' || chr(10) || chr(9) || chr(13)) = '' THEN 0 ELSE round(coalesce(x / sqrt(x * x + 15), 0), 4) + 0 END AS vader_compound
+FROM {source} t LEFT JOIN (
+  SELECT id, total + sign(total) * marks AS x FROM (
+    SELECT id, any_value(marks) AS marks, sum(CASE WHEN pos < but THEN 0.5::DOUBLE WHEN pos > but THEN 1.5::DOUBLE ELSE 1 END * CASE WHEN boost <> 0 THEN 0 ELSE score END) AS total
+    FROM (
+      SELECT *, CASE WHEN lower1 = 'least' AND valence1 IS NULL AND NOT coalesce(lower2 IN ('at', 'very'), false) THEN s3 * -0.74::DOUBLE ELSE s3 END AS score
+      FROM (SELECT *, {_looked_back('s2', 3)} AS s3
+      FROM (SELECT *, {_looked_back('s1', 2)} AS s2
+      FROM (SELECT *, {_looked_back('s0', 1)} AS s1
+      FROM (SELECT *, valence + CASE WHEN mixed AND capital THEN sign(valence) * 0.733::DOUBLE ELSE 0 END AS s0, {back}
+      FROM (
+        SELECT k.*, v.valence, bool_or(capital) OVER d AND bool_or(NOT capital) OVER d AS mixed, min(CASE WHEN lower = 'but' THEN pos END) OVER d AS but
+        FROM (
+          SELECT id, marks, pos, word, lower(word) AS lower, lower(word) <> word AND upper(word) = word AS capital,
+                 CASE WHEN lower(word) IN ({quoted(BOOST_UP)}) THEN 0.293::DOUBLE WHEN lower(word) IN ({quoted(BOOST_DOWN)}) THEN -0.293::DOUBLE ELSE 0 END AS boost,
+                 lower(word) IN ({quoted(NEGATIONS)}) OR contains(lower(word), 'n''t') AS negates
+          FROM (
+            SELECT id, marks, unnest(b) AS word, generate_subscripts(b, 1) AS pos FROM (
+              SELECT id, list_filter(list_transform(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> ''), lambda w: {_BARE}), lambda w: length(w) > 1) AS b,
+                     least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE
+                     + CASE WHEN length(text) - length(replace(text, '?', '')) > 3 THEN 0.96::DOUBLE WHEN length(text) - length(replace(text, '?', '')) > 1
+                            THEN (length(text) - length(replace(text, '?', ''))) * 0.18::DOUBLE ELSE 0 END AS marks
+              FROM {source})))
+        k LEFT JOIN lexicon_table v ON v.term = k.lower WINDOW d AS (PARTITION BY id))
+      WINDOW place AS (PARTITION BY id ORDER BY pos))))))
+    WHERE valence IS NOT NULL GROUP BY id)) r USING (id)"""
+
+
+@check(
+    "sentiment_with_rules",
+    with_views(
+        f"""
+SELECT id, vader_compound, CASE WHEN vader_compound >= 0.05 THEN 'positive' WHEN vader_compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment
+FROM ({_rules_sql('noisy')})""",
+        "noisy", "lexicon_table",
+    ),
+)
 def sentiment_with_rules(spark, folder):
     posts = V.noisy_posts(spark, folder).drop("sentiment")
     return L.score_sentiment(posts, V.lexicon(spark)).select("id", "vader_compound", "sentiment")
