@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from checks.registry import check, time_text, times_as_text
-from checks.views_sql import with_views
+from checks.text_queries import TICKERS_SQL, rules_sql
+from checks.views_sql import pairs, with_views
+from tickertide.functions.wordlists import SEED_LEXICON
 from tickertide.operators import ingest as I
 from tickertide.operators import lexicon as L
 from tickertide.operators import wrangle as W
@@ -203,7 +205,26 @@ def value_counts(spark, folder):
     return found.unionByName(named(I.distinct_communities(posts).withColumn("n", F.lit(1)), "subreddit"))
 
 
-@check("collect_job")
+@check(
+    "collect_job",
+    with_views("", "kept_comments").rstrip() + f""",
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC, CAST(id AS VARCHAR)) AS rn FROM thread_posts) WHERE rn <= 100),
+best AS (
+  SELECT c.* FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY score DESC NULLS LAST, CAST(id AS VARCHAR)) AS rn FROM thread_comments) c
+  JOIN latest p ON p.id = c.post_id WHERE c.rn <= 25),
+every AS (
+  SELECT CAST(id AS VARCHAR) AS id, 'post' AS type, subreddit, regexp_replace('T ' || text, '^\\s+|\\s+$', '', 'g') AS text, created_utc, CAST(NULL AS VARCHAR) AS post_id FROM latest
+  UNION ALL
+  SELECT CAST(k.id AS VARCHAR), 'comment', k.subreddit, regexp_replace(k.body, '^\\s+|\\s+$', '', 'g'), k.created_utc, CAST(k.post_id AS VARCHAR)
+  FROM kept_comments k JOIN best b ON b.id = k.id AND b.post_id = k.post_id),
+collected AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_utc, type) AS rn FROM every) WHERE rn = 1),
+seed AS (SELECT * FROM (VALUES {pairs(SEED_LEXICON)}) t(term, valence)),
+scored AS ({rules_sql("collected", "seed")})
+SELECT id, type, subreddit, array_to_string(t, ',') AS tickers, len(t) > 0 AS has_ticker,
+       CASE WHEN vader_compound >= 0.05 THEN 'positive' WHEN vader_compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment, vader_compound, post_id
+FROM (SELECT *, {TICKERS_SQL} AS t FROM collected) JOIN scored USING (id)""",
+)
 def collect_job(spark, folder):
     return I.collect_posts(_landed(spark, folder), L.seed_lexicon(spark)).select(
         "id", "type", "subreddit", "tickers", "has_ticker", "sentiment", "vader_compound", "post_id"

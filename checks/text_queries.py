@@ -114,7 +114,7 @@ def _labelled(spark, folder):
 
 
 _ASCII = "regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g')"
-_TICKERS = (
+TICKERS_SQL = (
     f"list_sort(list_distinct(list_filter(regexp_extract_all({_ASCII}, '\\b[A-Z]{{1,5}}\\b'), "
     f"lambda t: length(t) >= 2 AND t NOT IN ({quoted(NOT_TICKERS)}))))"
 )
@@ -122,21 +122,21 @@ _TICKERS = (
 
 @check(
     "tickers_of_posts",
-    with_views(f"SELECT id, array_to_string(t, ',') AS tickers, len(t) > 0 AS has_ticker FROM (SELECT id, {_TICKERS} AS t FROM noisy)", "noisy"),
+    with_views(f"SELECT id, array_to_string(t, ',') AS tickers, len(t) > 0 AS has_ticker FROM (SELECT id, {TICKERS_SQL} AS t FROM noisy)", "noisy"),
 )
 def tickers_of_posts(spark, folder):
     found = V.noisy_posts(spark, folder).select("id", extract_tickers("text").alias("t"))
     return found.select("id", ticker_list("t").alias("tickers"), has_ticker("t").alias("has_ticker"))
 
 
-@check("tickers_distinct", with_views(f"SELECT count(DISTINCT t) AS unique_tickers FROM (SELECT unnest({_TICKERS}) AS t FROM noisy)", "noisy"))
+@check("tickers_distinct", with_views(f"SELECT count(DISTINCT t) AS unique_tickers FROM (SELECT unnest({TICKERS_SQL}) AS t FROM noisy)", "noisy"))
 def tickers_distinct(spark, folder):
     return I.distinct_tickers(I.add_tickers(V.noisy_posts(spark, folder)))
 
 
 @check(
     "metric_tickers_total",
-    with_views(f"SELECT subreddit, CAST(coalesce(sum(len(t)), 0) AS BIGINT) AS total FROM (SELECT subreddit, {_TICKERS} AS t FROM noisy) GROUP BY subreddit", "noisy"),
+    with_views(f"SELECT subreddit, CAST(coalesce(sum(len(t)), 0) AS BIGINT) AS total FROM (SELECT subreddit, {TICKERS_SQL} AS t FROM noisy) GROUP BY subreddit", "noisy"),
 )
 def tickers_total(spark, folder):
     """The counter grows by the number of tickers of each post."""
@@ -146,7 +146,7 @@ def tickers_total(spark, folder):
 
 @check(
     "tickers_per_community",
-    with_views(f"SELECT subreddit, count(*) AS mentions FROM (SELECT subreddit, unnest({_TICKERS}) AS t FROM noisy) GROUP BY subreddit", "noisy"),
+    with_views(f"SELECT subreddit, count(*) AS mentions FROM (SELECT subreddit, unnest({TICKERS_SQL}) AS t FROM noisy) GROUP BY subreddit", "noisy"),
 )
 def tickers_per_community(spark, folder):
     return I.ticker_mentions(I.add_tickers(V.noisy_posts(spark, folder)))
@@ -190,7 +190,7 @@ def _looked_back(score: str, back: int) -> str:
     return f"CASE WHEN lower{back} IS NOT NULL AND valence{back} IS NULL THEN {turned} ELSE {score} END"
 
 
-def _rules_sql(source: str) -> str:
+def rules_sql(source: str, lexicon: str = "lexicon_table") -> str:
     """(id, vader_compound) of a view with id and text, by the published rules as steps over a table of words."""
     back = ", ".join(f"lag({c}, {k}) OVER place AS {c}{k}" for k in (1, 2, 3) for c in ("lower", "boost", "negates", "capital", "valence"))
     return f"""
@@ -217,7 +217,7 @@ FROM {source} t LEFT JOIN (
                      + CASE WHEN length(text) - length(replace(text, '?', '')) > 3 THEN 0.96::DOUBLE WHEN length(text) - length(replace(text, '?', '')) > 1
                             THEN (length(text) - length(replace(text, '?', ''))) * 0.18::DOUBLE ELSE 0 END AS marks
               FROM {source})))
-        k LEFT JOIN lexicon_table v ON v.term = k.lower WINDOW d AS (PARTITION BY id))
+        k LEFT JOIN {lexicon} v ON v.term = k.lower WINDOW d AS (PARTITION BY id))
       WINDOW place AS (PARTITION BY id ORDER BY pos))))))
     WHERE valence IS NOT NULL GROUP BY id)) r USING (id)"""
 
@@ -227,7 +227,7 @@ FROM {source} t LEFT JOIN (
     with_views(
         f"""
 SELECT id, vader_compound, CASE WHEN vader_compound >= 0.05 THEN 'positive' WHEN vader_compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment
-FROM ({_rules_sql('noisy')})""",
+FROM ({rules_sql('noisy')})""",
         "noisy", "lexicon_table",
     ),
 )
