@@ -10,6 +10,7 @@ from checks.views_sql import with_views, words
 from tickertide.operators import charts as C
 from tickertide.operators import stats as S
 from tickertide.operators import wrangle as W
+from tickertide.plans.modelling import write_report_days, write_report_of_days
 from tickertide.plans.preprocess import preprocess
 from tickertide.sources import files
 from tickertide.sources import sample_views as V
@@ -298,10 +299,8 @@ _REPORT_STATS = ["mean", "median", "std", "min", "max", "q25", "q75"]
 _REPORT_NUMBERS = ["score", "num_comments", "word_count", "engagement"]
 
 
-@check(
-    "report_scan",
-    with_views(
-        f"""
+_REPORT_SQL = with_views(
+    f"""
 SELECT 'total_posts' AS part, '' AS name, count(*)::DOUBLE AS value FROM derived
 UNION ALL SELECT 'count', sentiment, count(*) FROM derived GROUP BY sentiment
 UNION ALL SELECT 'percentage', sentiment, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM derived), 2) FROM derived GROUP BY sentiment
@@ -310,14 +309,12 @@ UNION ALL SELECT 'word', sentiment || '|' || word, row_number() OVER (PARTITION
 UNION ALL SELECT 'plot', unnest({S.REPORT_PLOTS}), unnest(range({len(S.REPORT_PLOTS)}))
 UNION ALL SELECT 'number', "column" || '|' || stat, round(value, 2) FROM (
   UNPIVOT ({_describe_sql(_REPORT_NUMBERS, "derived")}) ON {", ".join(_REPORT_STATS)} INTO NAME stat VALUE value)""",
-        "derived",
-    ),
+    "derived",
 )
-def report_scan(spark, folder):
-    """Every field of the stored report, read again."""
-    path = new_path(spark, "report")
-    files.write_report(S.report_json(derived(spark, folder)), path)
-    found = files.read_report(spark, path)
+
+
+def _report_fields(found):
+    """(part, name, value) of every field of a stored report."""
 
     def rows(part, entries):
         return found.select(F.explode(entries).alias("e")).select(F.lit(part).alias("part"), F.col("e.name").alias("name"), F.col("e.value").cast("double").alias("value"))
@@ -337,6 +334,26 @@ def report_scan(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+@check("report_scan", _REPORT_SQL)
+def report_scan(spark, folder):
+    """Every field of the stored report, read again."""
+    path = new_path(spark, "report")
+    files.write_report(S.report_json(derived(spark, folder)), path)
+    return _report_fields(files.read_report(spark, path))
+
+
+@check("report_of_days", _REPORT_SQL)
+def report_of_days(spark, folder):
+    """The same report from parts per day; the days of the later half are written again, which must change nothing."""
+    parts, path, posts = new_path(spark, "report-days"), new_path(spark, "report"), derived(spark, folder)
+    write_report_days(posts, parts)
+    middle = posts.agg(F.date_format(F.timestamp_seconds(F.avg(F.unix_seconds("created_at"))), "yyyy-MM-dd")).first()[0]
+    if middle:
+        write_report_days(posts, parts, since=middle)
+    write_report_of_days(spark, parts, path)
+    return _report_fields(files.read_report(spark, path))
+
+
 # --- chart data ---------------------------------------------------------------------------
 
 

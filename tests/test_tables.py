@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tickertide.operators import lexicon as L
 from tickertide.operators import ordered as O
 from tickertide.operators import stats as S
 from tickertide.operators import wrangle as W
+from tickertide.plans.modelling import write_report_days, write_report_of_days
 from tickertide.schemas import RAW_POST
 from tickertide.sources import files
 
@@ -144,6 +146,58 @@ def test_report_shape(spark):
     assert len(report["available_plots"]) == 15
 
 
+def test_report_reads_its_table_once(spark, tmp_path):
+    path = str(tmp_path / "posts")
+    W.add_derived_columns(small_posts(spark).withColumn("text", F.col("cleaned_text"))).write.parquet(path)
+    for method in ("exact", "approx"):
+        plan = S.report_parts(spark.read.parquet(path), method=method)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "partial_count" in plan
+    with pytest.raises(ValueError):
+        S.report_parts(spark.read.parquet(path), method="other")
+
+
+def _report_of(spark, path):
+    return json.loads((sorted(Path(path).glob("part*"))[0]).read_text())
+
+
+def test_report_of_days_equals_whole(spark, tmp_path):
+    rows = spark.range(3000).select(
+        "id", F.element_at(F.array(*[F.lit(s) for s in ("positive", "neutral", "negative")]), (F.col("id") % 3 + 1).cast("int")).alias("sentiment"),
+        F.when(F.col("id") % 50 > 0, F.concat(F.lit("c"), (F.col("id") % 7).cast("string"))).alias("subreddit"),
+        F.concat_ws(" ", F.lit("day"), F.concat(F.lit("w"), (F.col("id") % 41).cast("string"))).alias("cleaned_text"),
+        F.when(F.col("id") % 9 > 0, (F.col("id") * 37) % 1001).cast("int").alias("score"), F.lit(None).cast("int").alias("num_comments"),
+        F.when(F.col("id") % 100 > 0, F.timestamp_seconds(1_700_000_000 + F.col("id") * 300)).alias("created_at"),
+    )
+    whole = json.loads(S.report_json(rows).first()["value"])
+    assert whole["total_posts"] == 3000 and whole["numeric_stats"]["num_comments"] == {}
+    for method in ("exact", "approx"):
+        parts, path = str(tmp_path / f"parts-{method}"), str(tmp_path / f"report-{method}")
+        # the first run sees a part of the third day; the second replaces that day and adds the others
+        write_report_days(rows.filter("id < 800 or created_at is null"), parts, method=method)
+        day = rows.filter("id = 799").select(F.to_date("created_at").cast("string")).first()[0]
+        for _ in range(2):
+            write_report_days(rows, parts, since=day, method=method)
+        write_report_of_days(spark, parts, path)
+        merged = _report_of(spark, path)
+        numbers, wanted = merged.pop("numeric_stats"), dict(whole)
+        exact = wanted.pop("numeric_stats")
+        assert merged == wanted
+        if method == "exact":
+            assert numbers == exact
+        else:
+            assert all(numbers["score"][s] == pytest.approx(exact["score"][s], abs=0.011) for s in ("mean", "std", "min", "max"))
+            # scores are spread evenly over 0 to 1000: 1 % of the ranks is 10
+            assert all(abs(numbers["score"][s] - exact["score"][s]) <= 10 for s in ("q25", "median", "q75"))
+        write_report_of_days(spark, parts, path, first=day, last=day)
+        assert 0 < _report_of(spark, path)["total_posts"] <= 288
+
+
+def test_report_of_nothing(spark):
+    posts = W.add_derived_columns(small_posts(spark).withColumn("text", F.col("cleaned_text"))).filter("score > 99")
+    report = json.loads(S.report_json(posts).first()["value"])
+    assert report["total_posts"] == 0 and report["subreddit_breakdown"] == {} and set(report["numeric_stats"]) == {"score", "num_comments", "word_count", "engagement"}
+
+
 def test_chart_edges(spark):
     posts = small_posts(spark)
     assert [(r["sentiment"], r["count"]) for r in C.sentiment_distribution(posts).collect()] == [("positive", 2), ("neutral", 1), ("negative", 0)]

@@ -92,6 +92,11 @@ def exact_quantiles(
     keys = keys or []
     values = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
     counted = materialise(values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    return quantiles_of_counts(counted, shares, keys)
+
+
+def quantiles_of_counts(counted: DataFrame, shares: list[float], keys: list[str]) -> DataFrame:
+    """The same from a table of counted values: (keys, _v, _n), one row per value; it is read several times."""
     ranked = running_sums(counted, keys, "_v", ["_n"])
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
