@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, rounded
 from checks.table_queries import derived
-from checks.views_sql import with_views
+from checks.views_sql import clean, quoted, tokens, with_views
+from tickertide.functions.wordlists import STOPWORDS
 from tickertide.operators import evaluate as E
 from tickertide.operators import features as X
 from tickertide.operators import models as M
@@ -237,10 +238,8 @@ def combined_vectors(spark, folder):
     return rounded(S.entries(stored, "features_nonnegative", ["split", "id"]))
 
 
-@check(
-    "model_naive_bayes_scores",
-    _with_features(
-        """
+# the fitted Naive Bayes model, in closed form
+_BAYES = """
 sums AS (
   SELECT label, idx, coalesce(s, 0) AS s
   FROM (SELECT DISTINCT idx FROM feature_values), (VALUES (0), (1), (2)) c(label)
@@ -248,7 +247,13 @@ sums AS (
     ON l = label AND i = idx),
 norms AS (SELECT label, ln(sum(s) + (SELECT d FROM dimension)) AS norm FROM sums GROUP BY label),
 priors AS (SELECT sentiment_label AS label, ln(count(*) + 1.0::DOUBLE) - ln((SELECT count(*) FROM split WHERE split = 'train') + 3.0::DOUBLE) AS prior
-           FROM split WHERE split = 'train' GROUP BY 1),
+           FROM split WHERE split = 'train' GROUP BY 1)"""
+
+
+@check(
+    "model_naive_bayes_scores",
+    _with_features(
+        f"""{_BAYES},
 joint AS (
   SELECT f.id, s.label, any_value(prior) + sum(value * (ln(s + 1) - norm)) AS score
   FROM feature_values f JOIN split p ON p.id = f.id AND p.split = 'test' JOIN sums s USING (idx) JOIN norms n ON n.label = s.label JOIN priors r ON r.label = s.label
@@ -369,6 +374,46 @@ def score_texts(spark, folder):
     return scored.select("id", "model", sound.alias("sound"))
 
 
+@check(
+    "model_score_naive_bayes",
+    _with_features(
+        f"""{_BAYES},
+asked AS (
+  SELECT id, trim(t) AS text FROM (SELECT *, (id % 5 + 5) % 5 AS model_at FROM {_REQUEST_ROWS})
+  WHERE model_at = 2 AND length(t) BETWEEN 3 AND 5000 AND trim(t) <> ''),
+request_tokens AS (
+  SELECT a.id, a.pos, coalesce(m.lemma, a.token) AS token
+  FROM (SELECT id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM (
+          SELECT id, list_filter({tokens(clean('text'))}, lambda t: length(t) >= 3 AND t NOT IN ({quoted(STOPWORDS)})) AS toks FROM asked)) a
+  LEFT JOIN lemma_table m ON m.token = a.token),
+request_words AS (
+  SELECT id, string_split(coalesce(c, lower(text)), ' ') AS w
+  FROM asked LEFT JOIN (SELECT id, string_agg(token, ' ' ORDER BY pos) AS c FROM request_tokens GROUP BY id) USING (id)),
+request_terms AS (
+  SELECT id, term, count(*) AS tf FROM (
+    SELECT id, unnest(w) AS term FROM request_words UNION ALL
+    SELECT id, w[i] || ' ' || w[i + 1] FROM (SELECT id, w, unnest(range(1, len(w))) AS i FROM request_words)) GROUP BY id, term),
+request_weights AS (
+  SELECT id, idx, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS value
+  FROM (SELECT id, v.idx, (1 + ln(t.tf)) * v.idf AS w FROM request_terms t JOIN vocabulary v USING (term))),
+request_scores AS (
+  SELECT id, r.label, any_value(prior) + coalesce(sum(value * (ln(s + 1) - norm)), 0) AS score
+  FROM asked CROSS JOIN priors r JOIN norms n ON n.label = r.label LEFT JOIN request_weights USING (id)
+  LEFT JOIN sums ON sums.label = r.label AND sums.idx = request_weights.idx GROUP BY id, r.label),
+request_shares AS (SELECT id, label, exp(score - max(score) OVER (PARTITION BY id)) AS e FROM request_scores)""",
+        """
+SELECT id, round(sum(e) FILTER (label = 2) / sum(e), 4) AS positive, round(sum(e) FILTER (label = 1) / sum(e), 4) AS neutral,
+       round(sum(e) FILTER (label = 0) / sum(e), 4) AS negative, round(max(e) / sum(e), 4) AS confidence,
+       ['negative', 'neutral', 'positive'][arg_max(label, e) + 1] AS sentiment FROM request_shares GROUP BY id""",
+    ),
+)
+def score_naive_bayes(spark, folder):
+    """Scores of the requests that name Naive Bayes, among requests for all models."""
+    tables = _tables(spark, folder)
+    scored, _ = M.score_requests(V.requests(spark, folder), _trained(spark, folder)[1], tables.weights, tables.numeric, V.lemmas(spark))
+    return scored.filter("model = 'naive_bayes'").select("id", "positive", "neutral", "negative", "confidence", "sentiment")
+
+
 @check("model_check_requests", _REQUESTS_SQL)
 def check_requests(spark, folder):
     return M.check_requests(V.requests(spark, folder)).select("id", "model", "reason")

@@ -140,6 +140,45 @@ def test_train_tune_store_and_score(spark, tables, tmp_path):
         assert r["positive"] + r["neutral"] + r["negative"] == pytest.approx(1, abs=2e-4)
 
 
+def test_linear_expressions_equal_transform(spark, tables):
+    for name in ("logistic_regression", "naive_bayes"):
+        model = M.base_models(120)[name].fit(tables.features.filter("split = 'train'"))
+        column = "features_nonnegative" if name == "naive_bayes" else "features"
+        wanted = {r["id"]: r["probability"] for r in M.class_scores(model, tables.features).select("id", "probability").collect()}
+        found = tables.features.select("id", M.softmax_of(M.linear_form(model), F.unwrap_udt(column)).alias("p")).collect()
+        assert len(found) == 150
+        for r in found:
+            assert r["p"] == pytest.approx(wanted[r["id"]], abs=1e-9)
+
+
+def test_requests_of_all_models_are_scored_in_one_pass(spark, tables, tmp_path):
+    small = {"random_forest": {"numTrees": 5, "maxDepth": 4}, "logistic_regression": {"maxIter": 30}}
+    folder, path = str(tmp_path / "models"), str(tmp_path / "requests")
+    fitted = train_and_compare(tables, small, folder).models
+    M.mark_best(spark, folder, "random_forest")
+    texts = ["Rally! gain, profit", "a crash: fear and loss", "nothing known here", "It is", "w1 w2 common day"]
+    names = ["best", None, "logistic_regression", "naive_bayes", "random_forest", "svm"]
+    rows = [(10 * i + j, t, m) for i, t in enumerate(texts) for j, m in enumerate(names)]
+    spark.createDataFrame(rows, "id long, text string, model string").write.parquet(path)
+    scored, rejected = M.score_requests(spark.read.parquet(path), folder, tables.weights, tables.numeric)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["reason"] for r in rejected.collect()} == {"unknown_model"} and rejected.count() == 5
+    used = {"best": "random_forest"}
+    found = {r["id"]: r for r in scored.collect()}
+    assert len(found) == 25
+    for name, model in fitted.items():
+        alone = M.score_texts(spark.read.parquet(path), model, name, tables.weights, tables.numeric)
+        for r in alone.collect():
+            if r["id"] in found and used.get(found[r["id"]]["model"], found[r["id"]]["model"]) == name:
+                assert tuple(found[r["id"]])[:-1] == tuple(r) and found[r["id"]]["model_used"] == name
+    # the same by ML vectors
+    forest = M.score_texts(spark.read.parquet(path).filter("id = 4"), fitted["random_forest"], "random_forest", tables.weights, tables.numeric).first()
+    vectors = tables.weights.add_vector(spark.createDataFrame([(4, "rally gain profit")], "id long, cleaned_text string"))
+    blocks = M.with_feature_blocks(vectors.withColumns({c: F.lit(0.0) for c in tables.numeric}), tables.numeric)
+    wanted = M.class_scores(fitted["random_forest"], blocks).first()["probability"]
+    assert [forest["negative"], forest["neutral"], forest["positive"]] == [round(p, 4) for p in wanted]
+
+
 def test_grids(tables):
     assert len(M.forest_draws()) == 30 and M.forest_draws() == M.forest_draws()
     models = M.base_models(100)
