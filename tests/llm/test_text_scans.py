@@ -21,6 +21,32 @@ def test_template_folds_and_renders():
     assert "".join(p for p, _ in t.pieces(iter([{"role": "u", "text": "q"}, {"role": "u", "text": "r"}])) if p) == "AB!Q,R"
 
 
+def rendered(source, turns, **constants):
+    return "".join(text for text, _ in chat.Template(source, **constants).pieces(iter(turns)) if text is not None)
+
+
+def test_expressions_fold_and_run_as_closures():
+    turns = [{"role": "user", "text": "One"}, {"role": "assistant", "text": "two"}, {"role": "tool", "text": ""}]
+    each = "{% for m in messages %}{% if EXPR %}1{% else %}0{% endif %}{% endfor %}"
+    cases = {
+        "m.role == learner": "010", "m.role != learner": "101", "m.role == 'user' or m.role == 'tool'": "101", "not m.text": "001",
+        "m.text and not loop.first": "010", "yes and m.text": "110", "no or m.text": "110", "yes or m.text": "111", "no and m.text": "000",
+        "m.text and yes": "110", "m.role in 'user tool'": "101", "m.role not in 'user' + ' tool'": "010",
+        "'a' == first == m.role": "000", "'user' == who == m.role": "100", "(m.text | lower) == 'o' + 'ne'": "100", "loop.index0 == 1": "010",
+        "(who | upper) == (m.role | upper)": "100",
+    }
+    for code, wanted in cases.items():
+        assert rendered(each.replace("EXPR", code), turns, yes=True, no=False, first="b", who="user") == wanted, code
+    assert rendered("{% for m in messages %}{{ who + '-' + (m.text | upper) }};{% endfor %}", turns, who="x") == "x-ONE;x-TWO;x-;"
+    assert rendered("{{ 'a' + b | upper }}", turns, b="c") == "AC"
+    # a constant inside an expression that needs the turn is a value, and the deciding part ends it
+    tree = chat.Template("{% for m in messages %}{% if m.role == a + b or yes or m.text %}{% endif %}{% endfor %}", a="x", b="y", yes=True).tree
+    test = tree[0].body[0].branches[0][0]
+    assert len(test.values) == 2 and test.values[0].comparators[0].value == "xy" and test.values[1].value is True
+    # a turn hides a constant of its name
+    assert rendered("{% for m in messages %}{{ m.text }}{% endfor %}", turns, m="constant") == "Onetwo"
+
+
 @pytest.mark.parametrize("bad", ["{{ m.__class__ }}", "{{ open('x') }}", "{{ m.text[0] }}", "{% if a %}", "{{ a | nope }}", "{% while a %}", "{{ 1 + }}"])
 def test_template_is_a_sandbox(bad):
     with pytest.raises(chat.TemplateError):

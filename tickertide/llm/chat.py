@@ -19,6 +19,7 @@ are turns like any other. Empty tables give no parts. Other columns are ignored.
 import ast
 import hashlib
 import itertools
+import operator
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -145,40 +146,54 @@ def parse(source: str) -> list:
 # --- folding ---
 
 
-def evaluate(node: ast.expr, names: dict):
-    if isinstance(node, ast.Constant):
-        return node.value
-    if isinstance(node, ast.Name):
-        return names[node.id]
-    if isinstance(node, ast.Attribute):
-        return names[node.value.id][node.attr]
-    if isinstance(node, ast.Compare):
-        left = evaluate(node.left, names)
-        for op, part in zip(node.ops, node.comparators, strict=True):
-            right = evaluate(part, names)
-            same = left in right if isinstance(op, ast.In | ast.NotIn) else left == right
-            if same == isinstance(op, ast.NotEq | ast.NotIn):
-                return False
-            left = right
-        return True
-    if isinstance(node, ast.BoolOp):
-        value = None
-        for part in node.values:
-            value = evaluate(part, names)
-            if bool(value) == isinstance(node.op, ast.Or):
+class Folding(ast.NodeTransformer):
+    """Replaces names of constants, and every part of an expression that has only constants, by their values."""
+
+    def __init__(self, constants: dict):
+        self.constants = constants
+
+    def visit_Name(self, node):
+        value = self.constants.get(node.id)
+        return ast.Constant(value) if isinstance(value, str | int | bool) else node
+
+    def visit_Attribute(self, node):
+        return node
+
+    def visit_BinOp(self, node):
+        left = self.visit(node.left)
+        if isinstance(node.op, ast.BitOr):
+            # the right side is the filter's name
+            return self._folded(ast.BinOp(left, node.op, node.right), [left])
+        right = self.visit(node.right)
+        return self._folded(ast.BinOp(left, node.op, right), [left, right])
+
+    def visit_UnaryOp(self, node):
+        operand = self.visit(node.operand)
+        return self._folded(ast.UnaryOp(node.op, operand), [operand])
+
+    def visit_Compare(self, node):
+        left, others = self.visit(node.left), [self.visit(c) for c in node.comparators]
+        return self._folded(ast.Compare(left, node.ops, others), [left, *others])
+
+    def visit_BoolOp(self, node):
+        parts: list[ast.expr] = []
+        for i, part in enumerate(map(self.visit, node.values)):
+            if isinstance(part, ast.Constant) and bool(part.value) == isinstance(node.op, ast.Or):
+                # this part decides; later ones are not reached
+                parts.append(part)
                 break
-        return value
-    if isinstance(node, ast.UnaryOp):
-        return not evaluate(node.operand, names)
-    left = evaluate(node.left, names)
-    return FILTERS[node.right.id](left) if isinstance(node.op, ast.BitOr) else left + evaluate(node.right, names)
+            if not isinstance(part, ast.Constant) or i == len(node.values) - 1:
+                parts.append(part)
+        return parts[0] if len(parts) == 1 else ast.BoolOp(node.op, parts)
+
+    def _folded(self, node, operands):
+        if all(isinstance(o, ast.Constant) for o in operands):
+            return ast.Constant(compile_expression(node)({}))
+        return node
 
 
 def fold_expression(node: ast.expr, constants: dict) -> ast.expr:
-    names = {n.id for n in ast.walk(node) if isinstance(n, ast.Name)} - set(FILTERS)
-    if all(isinstance(constants.get(n), str | int | bool) for n in names) and not any(isinstance(n, ast.Attribute) for n in ast.walk(node)):
-        return ast.Constant(evaluate(node, constants))
-    return node
+    return Folding(constants).visit(node)
 
 
 def fold(body: list, constants: dict) -> list:
@@ -236,17 +251,66 @@ def compile_body(body: list) -> Callable[[dict, bool], Iterator[tuple[str | None
     return run
 
 
+TESTS = {ast.Eq: operator.eq, ast.NotEq: operator.ne, ast.In: lambda a, b: a in b, ast.NotIn: lambda a, b: a not in b}
+
+
 def compile_expression(node: ast.expr) -> Callable[[dict], object]:
+    """A closure from names to the value; the tree is not walked again."""
     if isinstance(node, ast.Constant):
         value = node.value
         return lambda names: value
+    if isinstance(node, ast.Name):
+        called = node.id
+        return lambda names: names[called]
     if isinstance(node, ast.Attribute):
         owner, name = node.value.id, node.attr
         return lambda names: names[owner][name]
-    if isinstance(node, ast.BinOp) and isinstance(node.op, ast.BitOr):
-        inner, change = compile_expression(node.left), FILTERS[node.right.id]
-        return lambda names: change(inner(names))
-    return lambda names: evaluate(node, names)
+    if isinstance(node, ast.Compare):
+        return compile_comparison(node)
+    if isinstance(node, ast.BoolOp):
+        return compile_choice([compile_expression(part) for part in node.values], isinstance(node.op, ast.Or))
+    if isinstance(node, ast.UnaryOp):
+        operand = compile_expression(node.operand)
+        return lambda names: not operand(names)
+    left = compile_expression(node.left)
+    if isinstance(node.op, ast.BitOr):
+        change = FILTERS[node.right.id]
+        return lambda names: change(left(names))
+    right = compile_expression(node.right)
+    return lambda names: left(names) + right(names)
+
+
+def compile_comparison(node: ast.Compare) -> Callable[[dict], bool]:
+    first = compile_expression(node.left)
+    steps = [(TESTS[type(op)], compile_expression(part)) for op, part in zip(node.ops, node.comparators, strict=True)]
+    if len(steps) == 1:
+        test, second = steps[0]
+        return lambda names: test(first(names), second(names))
+
+    def chain(names):
+        left = first(names)
+        for test, part in steps:
+            right = part(names)
+            if not test(left, right):
+                return False
+            left = right
+        return True
+
+    return chain
+
+
+def compile_choice(parts: list[Callable[[dict], object]], ends_on: bool) -> Callable[[dict], object]:
+    """and / or: the first part whose truth is `ends_on`, else the last."""
+
+    def choose(names):
+        value = None
+        for part in parts:
+            value = part(names)
+            if bool(value) == ends_on:
+                break
+        return value
+
+    return choose
 
 
 def compile_node(node):
