@@ -129,6 +129,28 @@ def test_hits_equal_a_plain_version(spark, block_words):
             assert r["clean_text"] == r["text"]
 
 
+def test_automata_are_built_in_tasks(spark, monkeypatch):
+    docs, items = made()
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    automata, count = decontam.built_blocks(benchmark, 13, 60)
+    found = {r["block"]: r["content"] for r in automata.collect()}
+    assert count > 3 and set(found) <= set(range(count))
+    sizes = []
+    for content in found.values():
+        block = decontam.held_block("one", bytes(content), 13)
+        decontam._held.clear()
+        sizes.append(len(block.automaton.names))
+    assert sum(sizes) == sum(1 for _, text in items if words(text))
+    # a stored automaton may take several rows
+    monkeypatch.setattr(decontam, "PIECE", 1000)
+    pieces, _ = decontam.built_blocks(benchmark, 13, 500_000)
+    rows = pieces.orderBy("piece").collect()
+    assert len(rows) > 1 and [r["piece"] for r in rows] == list(range(len(rows)))
+    given = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = decontam.decontaminate(given, benchmark).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], ",".join(r["items"]), r["contaminated"]) for r in rows) == plain(docs, items)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     nothing = spark.createDataFrame([], "item_id long, text string")

@@ -4,22 +4,27 @@ Items and documents are lower-cased (A-Z) and cut into words; the words of all i
 automaton. Each document's words are streamed through it, which yields the longest match that ends
 at each word. Words inside a match of at least `window` words, or inside a whole shorter item, are hit.
 
-The items go into automata by blocks of at most `block_words` words, built one after the other on
-the driver and sent to the tasks; every document passes every block, so any number of items works
-with bounded memory.
+The items are dealt by their hashes into blocks of about `block_words` words. Each block's automaton is built
+in a task and written to the shared folder; the driver passes on one block's bytes at a time. Every document
+passes every block, and the hits so far are written between blocks, so a task holds one automaton and any
+number of items works with bounded memory. (A single item is never cut: the longest one bounds a block too.)
 
 Nulls: a null text has no words; an item with a null id hits but is not listed. Texts or items
 without words hit nothing. Repeated rows and items change nothing but their own rows. Empty tables
 work. Columns of the input with the names this makes are replaced.
 """
 
+import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickertide.llm.common import hashed_words, joined, map_rows, others
+from tickertide.llm.common import FOLDED_GAP, fold, hashed_words, joined, map_rows, others
+from tickertide.sources.handover import materialise
 
 MADE = "n_words long, n_hit long, longest long, items array<string>, hits array<struct<first: long, last: long>>, clean_text string"
 
@@ -125,20 +130,40 @@ class Block:
         return np.where(self.known[at] == hashes, at, -1)
 
 
-def blocks_of(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Block]:
-    """Automata over all items; at most one block of items is held besides the finished ones."""
-    items, n = [], 0
-    for name, text in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        _, _, hashes = hashed_words((text or "").encode())
-        if not len(hashes):
-            continue
-        if items and n + len(hashes) > block_words:
-            yield Block(items, window)
-            items, n = [], 0
-        items.append((name, hashes))
-        n += len(hashes)
-    if items:
-        yield Block(items, window)
+#: Bytes of one row of a stored automaton.
+PIECE = 32 << 20
+
+
+def built_blocks(benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, int]:
+    """(block, piece, content), written: the pickled automata of all items, each built in a task of its own; and how many there are."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # the parts between gaps are at least as many as the words
+    words = items.agg(F.sum(F.size(F.split(fold("text"), FOLDED_GAP))).alias("n")).first()["n"] or 0
+    count = max(1, -(-words // block_words))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(count)).cast("int"))
+
+    def build(group: pa.Table) -> pa.Table:
+        texts = group.column("text").cast(pa.binary()).to_pylist()
+        hashed = [(name, hashed_words(text)[2]) for name, text in zip(group.column("name").to_pylist(), texts, strict=True)]
+        content = pickle.dumps(Block([item for item in hashed if len(item[1])], window), pickle.HIGHEST_PROTOCOL)
+        pieces = [content[at : at + PIECE] for at in range(0, len(content), PIECE)]
+        block = group.column("block")[0].as_py()
+        return pa.table({
+            "block": pa.array([block] * len(pieces), pa.int32()), "piece": pa.array(range(len(pieces)), pa.int32()), "content": pa.array(pieces, pa.binary())})
+
+    made = dealt.groupBy("block").applyInArrow(build, "block int, piece int, content binary")
+    return materialise(made, "automata"), count
+
+
+_held: dict[str, Block] = {}
+
+
+def held_block(key: str, content: bytes, window: int) -> Block:
+    """A block, unpickled once per worker, which holds one at a time. No content: no items."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = pickle.loads(content) if content else Block([], window)
+    return _held[key]
 
 
 def find_hits(block: Block, texts: list[bytes | None]) -> dict[str, list]:
@@ -192,15 +217,19 @@ def decontaminate(
     words in any document (null unless with_text). keep: the columns to hand on, all unless given.
     """
     spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(b) for b in blocks_of(benchmark, window, block_words)] or [spark.sparkContext.broadcast(Block([], window))]
+    automata, count = built_blocks(benchmark, window, block_words)
+    run = uuid.uuid4().hex
     final = ["n_items", "contaminated"]
     given = docs.withColumn("text", F.col("text").cast("string"))
     out = given.select(*[F.col(f"`{c}`") for c in others(docs, [*[f.split(" ")[0] for f in MADE.split(", ")], *final])])
-    for k, sent in enumerate(blocks):
-        last = k == len(blocks) - 1
+    for k in range(count):
+        last = k == count - 1
+        # one block, whose size block_words bounds
+        pieces = automata.filter(F.col("block") == k).orderBy("piece").select("content").collect()
+        sent = spark.sparkContext.broadcast(b"".join(bytes(p["content"]) for p in pieces))
 
-        def work(given, sent=sent, first=k == 0, last=last):
-            found = find_hits(sent.value, given["text"])
+        def work(given, sent=sent, key=f"{run}-{k}", first=k == 0, last=last):
+            found = find_hits(held_block(key, sent.value, window), given["text"])
             n = len(given["text"])
             hits, items, longest = found["hits"], found["items"], found["longest"]
             if not first:
@@ -229,6 +258,9 @@ def decontaminate(
         more = {} if k == 0 else {"hits": "as is", "items": "as is", "longest": "as is"}
         handed = keep if keep is None or last else [*keep, "text"]
         out = map_rows(out, MADE, work, {"text": "bytes"} | more, handed)
+        if not last:
+            out = materialise(out, "hits-so-far")
+            sent.unpersist()
     dirty = (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))
     return out.withColumn("n_items", F.size("items").cast("long")).withColumn("contaminated", dirty)
 
