@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tickertide.llm import licenses, pii, quality
@@ -251,6 +252,45 @@ def test_personal_spans(spark):
     assert pii.masked(b"ab cd ef", [(0, 2, "email"), (1, 4, "ip"), (6, 8, "card")]) == b"<EMAIL>d <CARD>"
 
 
+def test_candidates_found_once_equal_two_passes(spark):
+    rows = list(enumerate(PERSONAL)) + [(2, PERSONAL[2]), (None, "née Anna Maria Smith, Mr John Miller Dr. Weber")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("Spans", F.lit(3)).withColumn("more", F.lit("x"))
+    wanted = pii.find_personal_data(docs, pii.fit(docs), with_text=False)
+    found = pii.detect(docs)
+    assert found.columns == ["doc_id", "text", "more", "spans"]
+
+    def listed(df):
+        return sorted(repr((r["doc_id"], r["text"], [(s["kind"], s["start"], s["end"], round(s["score"], 9)) for s in r["spans"]])) for r in df.collect())
+
+    assert listed(found) == listed(wanted)
+    assert pii.detect(docs.limit(0)).count() == 0 and pii.detect(docs, keep=["doc_id"]).columns == ["doc_id", "spans"]
+
+
+def test_gazetteer_proposes_names(spark):
+    def persons(text, names=pii.NAMES):
+        return [text.encode()[a:b].decode() for a, b, kind in pii.candidates(text.encode(), names) if kind == "person"]
+
+    assert persons("saw Anna Maria Smith and Peter at Mr John Miller's; Anna, JohnSmith XAnna Lee") == ["Mr John Miller", "Anna Maria Smith"]
+    assert persons("Paul Anna Weber Klein Wolf Green") == ["Paul Anna Weber Klein"] and persons("Dr Anna Lee Maria Bo") == ["Dr Anna Lee", "Maria Bo"]
+    table = spark.createDataFrame([("Zoe", "given"), ("Quux", "family"), (None, "given")], "name string, kind string")
+    own = pii.names_of(table)
+    assert persons("Zoe Bar met Anna Weber", own) == ["Zoe Bar"]
+    with pytest.raises(ValueError):
+        pii.names_of(table, 1)
+
+
+def test_context_decides_beyond_the_votes():
+    import numpy as np
+
+    # equal votes on one kind; the contexts of right and wrong candidates differ
+    rows = [(7, 1, 2, 2, 1, 1, 1, 0, 1, 3), (7, 1, 2, 2, 2, 0, 0, 0, 1, 5), (7, 1, 2, 2, 1, 2, 1, 0, 1, 3), (7, 1, 2, 2, 1, 2, 1, 0, 1, 5)]
+    model = pii.train(np.array(rows), np.array([500.0, 500.0, 20.0, 20.0]))
+    asked = [(7, 1, 2, 2, 2, 2, 2, 0, 1, 3), (7, 1, 2, 2, 2, 2, 2, 0, 1, 5)]
+    same, other = model.scores(asked)
+    assert same > other + 0.1
+    assert len({pii.features_of(b"555-1234", before)[2] for before in (b"", b"call ", b"CALL: ")}) == 2
+
+
 def test_reliabilities_are_learnt():
     import numpy as np
 

@@ -161,7 +161,7 @@ def op4_secret_scan(spark, folder):
 @query("op8_pii")
 def op8_pii(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text")
-    found = pii.find_personal_data(docs, pii.fit(docs), with_text=False, keep=["doc_id"])
+    found = pii.detect(docs, keep=["doc_id"])
     return found.select(
         "doc_id", *[counted("spans", k) for k in pii.BASE], F.sha2(listed("spans", pii.BASE), 256).alias("base_sha256"),
         listed("spans").alias("spans"))
