@@ -82,3 +82,10 @@ def test_headers_and_empty_files(spark, tmp_path):
         files.read_raw_csv(spark, str(tmp_path), SCHEMA).collect()
     with pytest.raises(FileNotFoundError):
         files.read_raw_csv(spark, str(tmp_path / "none"), SCHEMA)
+
+
+def test_no_line_looks_at_all_lines_after_it(spark, tmp_path):
+    """Such a frame is summed up anew for every line: the square of the lines of a block."""
+    write(tmp_path / "one.csv", random_rows(random.Random(2), 20))
+    plan = read_records(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan

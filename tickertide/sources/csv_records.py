@@ -51,7 +51,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     rest = rest.withColumn("start", F.last("start", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     # a record that no line of its block ends, or that none starts, goes on in other blocks
     after = (F.col("earlier") + F.col("running") + F.col("quotes")) % 2 == 0
-    end = F.max(F.when(after, F.col("at"))).over(order.rowsBetween(0, Window.unboundedFollowing))
+    # from the last line back: a frame up to the last row would be summed up anew for every line
+    back = Window.partitionBy("file", "block").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
+    end = F.max(F.when(after, F.col("at"))).over(back)
     rest = rest.withColumn("crosses", F.col("start").isNull() | end.isNull()).filter(~F.col("whole"))
 
     along = Window.partitionBy("file").orderBy("block", "at").rowsBetween(Window.unboundedPreceding, 0)
