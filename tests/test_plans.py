@@ -40,7 +40,7 @@ def test_texts_do_not_move_when_copies_are_dropped(spark, tmp_path, monkeypatch)
 def test_rows_of_one_label_do_not_meet_in_one_task(spark):
     from tickertide.operators.features import stratified_folds, stratified_split
 
-    table = spark.range(800).select("id", F.lit(1).alias("sentiment_label")).repartition(8)
+    table = spark.range(800).select("id", (F.col("id") % 2).cast("int").alias("sentiment_label")).repartition(8)
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     old = {k: spark.conf.get(k) for k in (threshold, "spark.sql.adaptive.enabled")}
     # as for tables of unknown or large size
