@@ -315,8 +315,7 @@ def run_outcomes(spark, folder):
 
 def _event_stream(spark, folder):
     """The event table as a stream."""
-    schema = V.table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return V.stream(spark, folder, "events")
 
 
 def _written(spark, query, path):
@@ -370,9 +369,8 @@ def stream_sliding_increase(spark, folder):
 def stream_scored_posts(spark, folder):
     """Every document is scored once by the stored model; no model is marked best, so it is logistic regression."""
     tables = _tables(spark, folder)
-    name, model = M.load_best_model(spark, _trained(spark, folder)[1])
-    schema = V.table(spark, folder, "documents").schema
-    documents = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
+    name, model = M.load_best_model(spark, _trained(spark, folder, "logistic_regression")[1])
+    documents = V.stream(spark, folder, "documents")
     scored = jobs.scored_posts(documents.withColumnRenamed("doc_id", "id"), model, name, tables.weights, tables.numeric, V.lemmas(spark))
     path = new_path(spark, "scored")
     found = _written(spark, jobs.append_to(scored, path, path + "-checkpoint", available_now=True), path)

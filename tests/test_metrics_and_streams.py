@@ -256,3 +256,19 @@ def test_stream_scores_equal_batch(spark, tmp_path):
     wanted = score_texts(texts.drop("day"), model, "naive_bayes", tables.weights, tables.numeric)
     found = spark.read.parquet(str(tmp_path / "out")).select(*wanted.columns)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_a_table_streams_from_one_file_or_a_folder_of_parts(spark, tmp_path):
+    from tickertide.sources import sample_views as V
+    from tickertide.streaming.jobs import append_to
+
+    rows = spark.range(20).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    parts, single = tmp_path / "parts", tmp_path / "single"
+    rows.repartition(3).write.parquet(str(parts / "documents.parquet"))
+    rows.write.parquet(str(parts / "labels.parquet"))
+    single.mkdir()
+    rows.toPandas().to_parquet(single / "documents.parquet")
+    for folder in (parts, single):
+        out = str(folder / "out")
+        append_to(V.stream(spark, str(folder), "documents"), out, out + "-checkpoint", available_now=True).awaitTermination()
+        assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, rows.collect()))
