@@ -92,6 +92,30 @@ def test_equal_hashes_are_told_apart(monkeypatch):
     assert ids.tolist() == whole("one two three two") + whole("two")
 
 
+class Counted:
+    """A tokenizer that counts the texts it encodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+
+def test_new_words_go_to_the_library_many_at_a_time():
+    words = [f"{a}{b}{c}" for a in ("th", "É", "x", "ß") for b in ("ion", "öñ", "qu", "ÿÀe") for c in "abcdefghijklmnopqrstuvwxyzéØ"]
+    texts = [" ".join([w, w.upper(), str(k * 7919)]) + f"\n{w}s\n{k}0" for k, w in enumerate(words)] + ["", "\n", " ", "\0 \x7f\xad"]
+    encoder = token_files.Encoder(BPE, 2)
+    counted = [Counted(getattr(encoder, name)) for name in ("model", "words") if hasattr(encoder, name)]
+    for name, one in zip(("model", "words"), counted):
+        setattr(encoder, name, one)
+    for _ in range(2):
+        ids, sizes = encoder.encode([t.encode() for t in texts])
+        assert ids.tolist() == sum(map(whole, texts), []) and sizes.tolist() == [len(whole(t)) for t in texts]
+    assert sum(one.texts for one in counted) < len(words) / 2
+
+
 def expected(rows):
     model, start, out = Tokenizer.from_file(BPE), 0, []
     for doc_id, text in rows:

@@ -19,7 +19,7 @@ lowest bits stay in place. The last block of a file is padded with its minimum.
 
 The tokenizer must be a byte-level BPE with the usual pattern for words (no normalizer, no added blank). It merges bytes
 only within a word, its blank before it, a run of digits, of symbols or of white space. Texts are cut at places where two such runs
-surely meet (see unit_starts); a task has the library encode each distinct unit once and looks repetitions up. The
+surely meet (see unit_starts); a task has the library encode each distinct unit once, many new words at a time, and looks repetitions up. The
 tests hold the ids against whole texts encoded by the library. Texts with strings of special tokens are encoded whole.
 
 A file holds whole documents, up to FILE_IDS ids or those of one piece of work (PIECE bytes of text, or one longer
@@ -34,7 +34,6 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -55,6 +54,8 @@ BLOCK, PERCENTILE = 256, 90
 FILE_IDS = 1 << 21
 #: Bytes of text that are encoded together, and units that a worker remembers.
 PIECE, UNITS = 1 << 22, 1 << 19
+#: Words that the library encodes as one text.
+TOGETHER = 1 << 7
 #: Blocks whose bits are spread out at a time.
 SLICE = 512
 
@@ -222,6 +223,12 @@ _KIND[48:58] = DIGIT
 _KIND[65:91] = _KIND[97:123] = LETTER
 _KINDS = _KIND.tobytes()
 _BETWEEN = re.compile(rb"[A-Za-z] [A-Za-z]")
+# words and numbers of known characters, in UTF-8
+_PLAIN = re.compile(rb"( ?)(?:(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]+)")
+# the characters that stand for bytes in the vocabulary; that of a line feed for byte 0, as a line feed parts words here
+_SIGNS = np.arange(256, dtype="<u4")
+_SIGNS[[0, 32, 173]] = 0x10A, 0x120, 0x143
+_SIGNS[127:161] += 162
 
 # between two kinds: no cut, a cut, or it depends on their neighbours
 CUT, BOTH_WHITE, AFTER_GAP = 1, 2, 3
@@ -298,8 +305,8 @@ def _hashes(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return mix(a ^ mix(b + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
-def distinct_units(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per unit the number of its kind, and per kind a unit of it."""
+def distinct_units(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per unit the number of its kind; per kind a unit of it; per kind its bytes as two numbers (those of up to 16 bytes)."""
     words = np.frombuffer(data + bytes(24 - len(data) % 8), "<u8")
     a, b = _eight(words, starts, sizes), _eight(words, np.minimum(starts + 8, len(data)), sizes - 8)
     # longer units get a number each
@@ -310,66 +317,142 @@ def distinct_units(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[
     first = np.empty(len(kinds), dtype=np.int64)
     first[codes[::-1]] = np.arange(len(codes))[::-1]
     model = first[codes]
-    if (a[model] == a).all() and (b[model] == b).all() and (sizes[model] == sizes).all():
-        return codes, first
-    # two units have one hash
-    names = {}
-    codes = np.fromiter((names.setdefault(data[s : s + n], len(names)) for s, n in zip(starts.tolist(), sizes.tolist())), np.int64, len(starts))
-    first = np.empty(len(names), dtype=np.int64)
-    first[codes[::-1]] = np.arange(len(codes))[::-1]
-    return codes, first
+    if not ((a[model] == a).all() and (b[model] == b).all() and (sizes[model] == sizes).all()):
+        # two units have one hash
+        names = {}
+        codes = np.fromiter((names.setdefault(data[s : s + n], len(names)) for s, n in zip(starts.tolist(), sizes.tolist())), np.int64, len(starts))
+        first = np.empty(len(names), dtype=np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+    return codes, first, np.stack([a[first], b[first]])
+
+
+def _rows(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs, one run after the other."""
+    stops = np.cumsum(sizes)
+    return np.arange(stops[-1] if len(stops) else 0) + np.repeat(firsts - (stops - sizes), sizes)
 
 
 class Encoder:
     """Ids of texts, each with the end id; the library encodes each unit once.
 
-    Up to UNITS units are remembered; beyond that, those stay that more pieces of text have had.
+    Up to UNITS units are remembered; beyond that, those stay that more pieces of text have had. Units of up to 16 bytes are found by
+    a sorted table of their hashes and compared in full, others and those whose hash another unit has by a dictionary.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(tokenizer)
+        # the same merges for words that are cut already
+        self.words = Tokenizer(self.model.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
         self.end_id = end_id
         self.specials = [t.content.encode() for t in self.model.get_added_tokens_decoder().values()]
+        # ids that start a word with its blank, and that of a line feed
+        vocabulary = self.model.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.blank[[k for token, k in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.feed = vocabulary.get("\u010a", -1)
+        self._clear()
+
+    def _clear(self) -> None:
         # unit 0 is nothing, unit 1 the end of a text
+        self.ids = np.array([self.end_id], dtype=np.uint32)
+        self.firsts, self.sizes, self.uses = np.array([0, 0]), np.array([0, 1]), np.array([0, 0])
+        self.lengths, self.parts = np.array([-1, -1]), np.zeros((2, 2), dtype=np.uint64)
+        self.hashes, self.owners = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.numbers: dict[bytes, int] = {}
-        self.ids, self.firsts, self.sizes, self.uses = array("I", [end_id]), array("q", [0, 0]), array("q", [0, 1]), array("I", [0, 0])
 
     def _forget(self) -> None:
-        uses = np.array(self.uses)
+        uses = self.uses
         least = 2
         while (uses >= least).sum() > UNITS // 2:
             least *= 2
-        old, ids, firsts, sizes = self.numbers, self.ids, self.firsts, self.sizes
-        self.numbers = {}
-        self.ids, self.firsts, self.sizes, self.uses = array("I", [self.end_id]), array("q", [0, 0]), array("q", [0, 1]), array("I", [0, 0])
-        kept = [(unit, k) for unit, k in old.items() if uses[k] >= least]
-        self._add([unit for unit, _ in kept], [ids[firsts[k] : firsts[k] + sizes[k]] for _, k in kept], uses[[k for _, k in kept]] // 2)
-
-    def _add(self, units: list[bytes], found: list, uses: np.ndarray) -> None:
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.numbers.update(zip(units, range(len(self.firsts), len(self.firsts) + len(units))))
-        self.firsts.frombytes((len(self.ids) + np.cumsum(sizes) - sizes).tobytes())
-        self.sizes.frombytes(sizes.tobytes())
-        self.uses.frombytes(uses.astype(np.uint32).tobytes())
-        self.ids.extend(chain.from_iterable(found))
-
-    def _known(self, units: list[bytes]) -> np.ndarray:
-        """The numbers of units, each given once."""
-        numbers = list(map(self.numbers.get, units))
-        new = [u for u, k in zip(units, numbers) if k is None]
-        if new:
-            if len(self.numbers) + len(new) > UNITS and self.numbers:
+        kept = uses >= least
+        # the reserved ones stay
+        kept[:2] = True
+        number = np.cumsum(kept) - 1
+        self.ids = self.ids[_rows(self.firsts[kept], self.sizes[kept])]
+        self.sizes, self.lengths, self.parts, self.uses = self.sizes[kept], self.lengths[kept], self.parts[:, kept], uses[kept] // 2
+        # both reserved ones start at 0
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        there = kept[self.owners]
+        self.hashes, self.owners = self.hashes[there], number[self.owners[there]]
+        self.numbers = {unit: int(number[k]) for unit, k in self.numbers.items() if kept[k]}
+
+    def _add(self, units: list[bytes], lengths: np.ndarray, parts: np.ndarray, hashes: np.ndarray) -> None:
+        """Remember new units, each given once."""
+        ids, sizes = self._ids_of(units)
+        at = len(self.firsts)
+        self.firsts = np.append(self.firsts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.ids, self.sizes, self.uses = np.append(self.ids, ids), np.append(self.sizes, sizes), np.append(self.uses, np.zeros(len(units), dtype=np.int64))
+        self.lengths, self.parts = np.append(self.lengths, lengths), np.concatenate([self.parts, parts], axis=1)
+        short = np.flatnonzero(lengths <= 16)
+        found, which = np.unique(hashes[short], return_index=True)
+        places = np.searchsorted(self.hashes, found)
+        fresh = np.append(self.hashes, np.uint64(0))[places] != found
+        fresh |= places == len(self.hashes)
+        which, places = short[which[fresh]], places[fresh]
+        self.hashes, self.owners = np.insert(self.hashes, places, found[fresh]), np.insert(self.owners, places, at + which)
+        others = np.ones(len(units), dtype=bool)
+        others[which] = False
+        self.numbers.update((units[k], at + k) for k in np.flatnonzero(others).tolist())
+
+    def _ids_of(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of units, and how many each has. Words go to the library many in a text, each cut from the next."""
+        plain = [m and m[1] for m in map(_PLAIN.fullmatch, units)]
+        order, found, sizes = [k for k, blank in enumerate(plain) if blank is None], [], []
+        singles = self.model.encode_batch_fast([units[k].decode() for k in order], add_special_tokens=False)
+        each = [e.ids for e in singles]
+        for blank, sign in ((b" ", b""), (b"", b"\0\n")):
+            which = [k for k, b in enumerate(plain) if b == blank]
+            for k in range(0, len(which), TOGETHER):
+                some = which[k : k + TOGETHER]
+                text = sign + (b"\n" + sign).join([units[i] for i in some])
+                text = _SIGNS[np.frombuffer(text, np.uint8)].tobytes().decode("utf-32-le")
+                ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+                heads = np.flatnonzero(ids == self.feed if sign else self.blank[ids])
+                sizes.append(np.diff(heads, append=len(ids)) - bool(sign))
+                found.append(np.delete(ids, heads) if sign else ids)
+                order += some
+        ids = np.concatenate([np.fromiter(chain.from_iterable(each), np.uint32), *found])
+        sizes = np.concatenate([np.fromiter(map(len, each), np.int64, len(each)), *sizes])
+        back = np.argsort(order)
+        return ids[_rows((np.cumsum(sizes) - sizes)[back], sizes[back])], sizes[back]
+
+    def _known(self, data: bytes, starts: np.ndarray, lengths: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """The numbers of units in the bytes, each given once."""
+        hashes = _hashes(parts[0], parts[1], lengths)
+
+        def look_up(which):
+            out, others = np.full(len(which), -1), lengths[which] > 16
+            if len(self.hashes):
+                places = np.minimum(np.searchsorted(self.hashes, hashes[which]), len(self.hashes) - 1)
+                at = np.flatnonzero((self.hashes[places] == hashes[which]) & ~others)
+                owner, asked = self.owners[places[at]], which[at]
+                same = (self.lengths[owner] == lengths[asked]) & (self.parts[0][owner] == parts[0][asked]) & (self.parts[1][owner] == parts[1][asked])
+                out[at[same]] = owner[same]
+                others[at[~same]] = True
+            for k in np.flatnonzero(others).tolist():
+                i = which[k]
+                out[k] = self.numbers.get(data[starts[i] : starts[i] + lengths[i]], -1)
+            return out
+
+        # in the order of the table, which a search goes through faster
+        order = np.argsort(hashes)
+        numbers = np.empty(len(starts), dtype=np.int64)
+        numbers[order] = look_up(order)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            if len(self.firsts) + len(new) > UNITS and len(self.firsts) > 2:
                 self._forget()
-                new = [u for u in units if u not in self.numbers]
-            found = self.model.encode_batch_fast([u.decode() for u in new], add_special_tokens=False)
-            self._add(new, [f.ids for f in found], np.zeros(len(new)))
-            numbers = list(map(self.numbers.__getitem__, units))
-        which = np.array(numbers, dtype=np.int64)
-        np.frombuffer(self.uses, np.uint32)[which] += 1
-        return which
+                numbers[order] = look_up(order)
+                new = np.flatnonzero(numbers < 0)
+            numbers[new] = len(self.firsts) + np.arange(len(new))
+            self._add([data[a : a + n] for a, n in zip(starts[new].tolist(), lengths[new].tolist())], lengths[new], parts[:, new], hashes[new])
+        self.uses[numbers] += 1
+        return numbers
 
     def _together(self, texts: list[bytes], whole: list[bool]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, and how many each has; those that are whole end with the end id."""
@@ -377,15 +460,13 @@ class Encoder:
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
         starts = unit_starts(data, ends)
         sizes = np.diff(np.append(starts, len(data)))
-        codes, first = distinct_units(data, starts, sizes)
-        units = [data[a : a + n] for a, n in zip(starts[first].tolist(), sizes[first].tolist())]
-        which = self._known(units)[codes]
+        codes, first, parts = distinct_units(data, starts, sizes)
+        which = self._known(data, starts[first], sizes[first], parts)[codes]
         at_end = np.searchsorted(starts, ends)
         which[at_end] = np.array(whole, dtype=np.int64)
-        ids, firsts, sizes = (np.frombuffer(a, t) for a, t in ((self.ids, np.uint32), (self.firsts, np.int64), (self.sizes, np.int64)))
-        sizes = sizes[which]
+        sizes = self.sizes[which]
         stops = np.cumsum(sizes)
-        found = ids[np.arange(stops[-1]) + np.repeat(firsts[which] - (stops - sizes), sizes)]
+        found = self.ids[_rows(self.firsts[which], sizes)]
         return found, np.diff(stops[at_end], prepend=0)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
