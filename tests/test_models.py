@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -250,3 +251,18 @@ def test_tuning_queries_search_the_documented_grids(spark, tables, monkeypatch):
     assert {p[e] for p in searched["logistic_regression"] for e in p if e.name == "maxIter"} == {500, 1000}
     assert {p[e] for p in searched["random_forest"] for e in p if e.name == "numTrees"} == {100, 200, 300}
     assert {r["model_name"] for r in compared} == set(searched) and all(0 <= r["f1_score"] <= 1 for r in compared)
+
+
+def test_forests_are_fitted_in_no_more_tasks_than_cores(tables):
+    """A task makes the statistics of all nodes of a pass, so tasks beyond the cores repeat that work."""
+    seen = []
+
+    class Seen(RandomForestClassifier):
+        def _fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return super()._fit(rows)
+
+    train = tables.features.filter("split = 'train'").repartition(20)
+    forest = Seen(numTrees=2, maxDepth=2, labelCol="sentiment_label")
+    models, _ = M.train_all(train, {"random_forest": forest})
+    assert seen == [(8, train.count())] and models["random_forest"].getNumTrees == 2
